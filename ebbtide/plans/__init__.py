@@ -1,0 +1 @@
+"""Jobs that chain the operators."""
