@@ -238,12 +238,16 @@ def validation_findings(
             F.count_if(y == 1).alias("class_1"),
         )
         low = F.least("class_0", "class_1")
+
+        def objection(name: str, value: Column, bad: Column) -> Column:
+            return F.struct(F.lit(name).alias("check"), value.alias("v"), bad.alias("bad"))
+
         objections = labels.select(
             F.inline(
                 F.array(
-                    F.struct(F.lit("invalid_labels").alias("check"), F.col("invalid").alias("v"), (F.col("invalid") > 0).alias("bad")),
-                    F.struct(F.lit("single_class"), low, low == 0),
-                    F.struct(F.lit("small_class"), low, (low > 0) & (low < min_per_class)),
+                    objection("invalid_labels", F.col("invalid"), F.col("invalid") > 0),
+                    objection("single_class", low, low == 0),
+                    objection("small_class", low, (low > 0) & (low < min_per_class)),
                 )
             )
         ).filter("bad")

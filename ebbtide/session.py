@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
-def build_session(app: str = "ebbtide", master: str | None = None, partitions: int | None = None) -> SparkSession:
+def build_session(
+    app: str = "ebbtide",
+    master: str | None = None,
+    partitions: int | None = None,
+    settings: dict[str, str] | None = None,
+) -> SparkSession:
     """Session with the settings the jobs expect; cluster settings win when given by spark-submit."""
     builder = (
         SparkSession.builder.appName(app)
@@ -25,6 +30,8 @@ def build_session(app: str = "ebbtide", master: str | None = None, partitions: i
         builder = builder.master(master)
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

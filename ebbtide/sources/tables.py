@@ -60,9 +60,12 @@ def execute_query(spark: SparkSession, query: str, return_df: bool = True, **arg
     return df if return_df else df.collect()
 
 
-def save_table(df: DataFrame, name: str = "features") -> DataFrame:
-    """Create or replace a catalogue table and return it."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def save_table(df: DataFrame, name: str = "features", path: str | None = None) -> DataFrame:
+    """Create or replace a catalogue table and return it; ``path`` keeps its files outside the warehouse."""
+    writer = df.write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
