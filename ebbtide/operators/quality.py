@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions.expressions import is_missing, numeric_columns, present_double, safe_ratio
+from ebbtide.session import broadcast_if_small, materialise
 
 # Fixed limits of the checks.
 MAX_MISSING_PCT = 50.0
@@ -31,6 +32,11 @@ FINDINGS = T.StructType(
     ]
 )
 
+RANGES = (
+    "column string, n_infinite bigint, n_high bigint, n_low bigint, minimum double, maximum double, mean double, "
+    "std double"
+)
+
 
 class ValidationError(Exception):
     """A strict validation found an error."""
@@ -66,12 +72,25 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical full row, and their share."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return groups.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-    ).withColumn("duplicate_pct", safe_ratio(F.col("duplicate_rows") * 100, F.col("n_rows")))
+    """Rows beyond the first of each identical full row, and their share.
+
+    Only a hash of each row is shuffled at first; whole rows are compared where a hash repeats, so the
+    count is exact and unique rows never leave their task.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    copies = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = materialise(copies.filter(F.col("_copies") > 1).select("_hash"))
+    groups = (
+        hashed.join(broadcast_if_small(repeated), "_hash", "left_semi")
+        .groupBy(*df.columns)
+        .agg((F.count(F.lit(1)) - 1).alias("_extra"))
+    )
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return (
+        groups.agg(F.coalesce(F.sum("_extra"), F.lit(0)).alias("duplicate_rows"))
+        .select(rows.alias("n_rows"), "duplicate_rows")
+        .withColumn("duplicate_pct", safe_ratio(F.col("duplicate_rows") * 100, F.col("n_rows")))
+    )
 
 
 def duplicate_keys(df: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -93,6 +112,8 @@ def missing_values(df: DataFrame, max_missing_pct: float = MAX_MISSING_PCT) -> D
 def value_ranges(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Infinite and extreme values per numeric column with min, max, mean and standard deviation."""
     columns = list(columns) if columns is not None else numeric_columns(df)
+    if not columns:
+        return df.sparkSession.createDataFrame([], RANGES)
     aggregates = []
     for i, c in enumerate(columns):
         x = present_double(df, c)
@@ -130,14 +151,17 @@ def label_distribution(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def correlation(x: Column, y: Column) -> Column:
-    """Pearson correlation over rows where both are present; null when one of them is constant."""
+    """Pearson correlation over rows where both are present; null where it is undefined."""
     a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    r = F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.nanvl(r, F.lit(None).cast("double"))
 
 
 def label_correlations(df: DataFrame, label_col: str = "label", first: int | None = LEAKAGE_COLUMNS) -> DataFrame:
     """Correlation of numeric columns with the label (the first 20 by default) and the leakage flag."""
     columns = numeric_columns(df, exclude=("customer_id", label_col))[:first]
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, correlation double, suspect boolean")
     y = present_double(df, label_col)
     one = df.agg(*[correlation(present_double(df, c), y).alias(f"r{i}") for i, c in enumerate(columns)])
     return _rows_per_column(
@@ -181,8 +205,13 @@ def constraint_violations(customers: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def orphan_events(customers: DataFrame, events: DataFrame) -> DataFrame:
-    """Events whose customer is unknown."""
-    return events.join(customers.select("customer_id"), "customer_id", "left_anti")
+    """Events whose customer is unknown.
+
+    The unknown ids are found among the distinct ids, so the log itself is joined with few rows.
+    """
+    ids = events.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
+    unknown = materialise(ids.join(customers.select("customer_id"), "customer_id", "left_anti"))
+    return events.join(broadcast_if_small(unknown), "customer_id", "left_semi")
 
 
 def _findings(df: DataFrame, check: str, column: Column, value: Column, severity: str) -> DataFrame:
@@ -295,6 +324,8 @@ def dominant_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     whether one value dominates, without counting every distinct value.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, top_share double")
     middle = df.agg(
         *[F.percentile_approx(present_double(df, c), 0.5, 1000).alias(f"p{i}") for i, c in enumerate(columns)]
     ).first()

@@ -24,17 +24,29 @@ def default_grid() -> list[float]:
 
 
 def points_reached(score: Column, grid: Sequence[float]) -> Column:
-    """How many points of the ascending grid are at most the score: a balanced tree of comparisons."""
+    """How many points of the ascending grid are at most the score.
+
+    Equal-width bins narrow the search: every point in a lower bin is below the score and every point
+    in a higher bin above it, because the bin number grows with the value.  Only the points that share
+    the bin of the score are compared with it, one or two for an even grid.
+    """
     if not grid:
         return F.lit(0)
-
-    def below(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(score >= F.lit(grid[middle]), below(middle + 1, high)).otherwise(below(low, middle))
-
-    return F.when(score.isNull() | F.isnan(score), 0).otherwise(below(0, len(grid)))
+    points = np.asarray(grid, dtype=float)
+    low, high = float(points[0]), float(points[-1])
+    bins = 2 * len(points)
+    scale = bins / (high - low) if high > low else 0.0
+    bin_of_point = np.floor((points - low) * scale).astype(int)
+    per_bin = np.bincount(bin_of_point)
+    before = np.concatenate([[0], np.cumsum(per_bin)[:-1]])
+
+    inside = F.least(F.greatest(score, F.lit(low)), F.lit(high))
+    start = F.get(F.lit([int(n) for n in before]), F.floor((inside - F.lit(low)) * F.lit(scale)).cast("int"))
+    values = F.lit([float(t) for t in points])
+    reached = start
+    for i in range(int(per_bin.max())):
+        reached = reached + F.when(score >= F.get(values, start + i), 1).otherwise(0)
+    return F.when(score.isNull() | F.isnan(score), 0).otherwise(reached)
 
 
 def threshold_counts(
@@ -70,16 +82,14 @@ def threshold_counts(
     )
     # Each counted row answers for the thresholds between the next lower count and its own; the top
     # row also for those nobody reaches.
-    points = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(t).alias("t")) for i, t in enumerate(grid)])
-    covered = F.filter(
-        points, lambda g: (g["i"] > F.col("_lower")) & ((g["i"] <= F.col("_reached")) | F.col("_top"))
-    )
-    spread = sums.withColumn("_g", F.explode(covered))
-    hit = F.col("_g.i") <= F.col("_reached")
+    last = F.when(F.col("_top"), F.lit(len(grid))).otherwise(F.col("_reached"))
+    covered = sums.withColumn("_last", last).filter(F.col("_lower") < F.col("_last"))
+    spread = covered.withColumn("_i", F.explode(F.sequence(F.col("_lower") + 1, F.col("_last"))))
+    hit = F.col("_i") <= F.col("_reached")
     tp, fp = F.when(hit, F.col("_tp")).otherwise(0), F.when(hit, F.col("_fp")).otherwise(0)
     return spread.select(
         *group,
-        F.col("_g.t").alias("threshold"),
+        F.get(F.lit(grid), F.col("_i") - 1).alias("threshold"),
         tp.alias("true_positives"),
         (F.col("_all_neg") - fp).alias("true_negatives"),
         fp.alias("false_positives"),

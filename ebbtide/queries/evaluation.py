@@ -10,6 +10,7 @@ from ebbtide.operators import curves, evaluation, preparation, segments, splits
 from ebbtide.operators import thresholds as th
 from ebbtide.operators.quantiles import exact_median
 from ebbtide.operators.scoring import DecisionParameters, decide
+from ebbtide.plans import jobs
 from ebbtide.queries.common import (
     COUNTS_SQL,
     SCORE_SQL,
@@ -27,7 +28,7 @@ from ebbtide.queries.common import (
 )
 from ebbtide.queries.features import ACTIVITY_FEATURES_SQL, ORDER_FEATURES_SQL
 from ebbtide.session import materialise, scratch_path
-from ebbtide.sources.reports import error_report_lines, load_csv, load_metrics, save_csv, save_json
+from ebbtide.sources.reports import error_report_lines, load_csv, load_json, load_metrics, save_csv, save_json
 
 SCENARIOS = (
     bz.BusinessScenario(),
@@ -141,10 +142,28 @@ def strategy_comparison(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def business_evaluation(spark: SparkSession, folder: str) -> DataFrame:
-    report = bz.business_report(materialise(_best(spark, folder)), "random")
+    """The nested report as written to and read back from JSON, flattened."""
+    path = scratch_path(spark, "business")
+    written = jobs.business_evaluation(scored_labels(spark, folder), SCENARIOS, path, "random")
+    report = load_json(spark, path, written.schema)
     return finish(report.select("scenario.name", "best_threshold.threshold", "baseline_strategy", "summary.*"))
 
 
+def threshold_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The threshold report as written to and read back from JSON: one row per targeted share."""
+    path = scratch_path(spark, "thresholds")
+    written = jobs.threshold_analysis(materialise(scored_labels(spark, folder)), path)
+    report = load_json(spark, path, written.schema)
+    return finish(
+        report.select(
+            "optimal_threshold",
+            F.col("optimal_threshold_metrics.total_cost").alias("total_cost"),
+            F.size("threshold_analysis").alias("n_thresholds"),
+            F.inline("top_k_analysis"),
+        )
+    )
+
+
 def _second_score(df: DataFrame) -> DataFrame:
     score = ((F.col("customer_id") * 104729) % 1000 * 8 + F.col("label") * 1500) / F.lit(10000.0)
     return df.withColumn("score", score).withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
@@ -255,6 +274,7 @@ QUERIES = {
     "budget_threshold": budget_threshold,
     "strategy_comparison": strategy_comparison,
     "business_evaluation": business_evaluation,
+    "threshold_report": threshold_report,
     "compare_models": compare_models,
     "best_model": best_model,
     "customer_segments": customer_segments,
@@ -589,6 +609,12 @@ SELECT scenario AS name, {rounded("threshold", "threshold")}, 'random' AS baseli
        inc.net_gain AS incremental_net_gain, inc.roi_percent AS incremental_roi,
        tp + tn + fp + fn AS total_customers, tp + fn AS total_churned,
        {rounded(CHURN_RATE, "churn_rate")} FROM bb JOIN inc USING (scenario)""",
+    "threshold_report": f"""{SWEEP_SQL},
+op AS (SELECT threshold, fp + 5 * fn AS cost FROM sw ORDER BY cost, threshold LIMIT 1),
+tk AS (SELECT label, row_number() OVER (ORDER BY score DESC, customer_id) AS r, count(*) OVER () AS n FROM s),
+tt AS ({" UNION ALL ".join(_top_k_sql(k) for k in th.TOP_K)})
+SELECT {rounded("threshold", "optimal_threshold")}, CAST(cost AS DOUBLE) AS total_cost,
+       CAST(100 AS BIGINT) AS n_thresholds, tt.* FROM op, tt""",
     "compare_models": f"""{MODELS_SQL}
 SELECT model, 'test' AS split, {rounded(ACCURACY, "accuracy")}, {rounded(PRECISION, "precision")},
        {rounded(RECALL, "recall")}, {rounded(F1, "f1")}, {AREA_COLUMNS}, {rounded(FPR, "false_positive_rate")} FROM mm""",

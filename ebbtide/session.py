@@ -25,6 +25,8 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Stack traces for every column expression cost more than building the plans themselves.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
