@@ -19,6 +19,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.functions.expressions import (
     DEFAULT_DAYS_AGO,
@@ -75,9 +76,32 @@ def window_events(events: DataFrame, window: ObservationWindow, partition_column
     return kept
 
 
+def _minor_units(events: DataFrame) -> Column:
+    """The value with 0 for a missing one; exact amounts become whole hundredths.
+
+    Sums of long integers stay exact and in generated code, unlike sums of wide decimals.
+    """
+    kind = events.schema["event_value"].dataType
+    value = F.coalesce("event_value", F.lit(DEFAULT_NUMBER).cast(kind))
+    if isinstance(kind, T.DecimalType) and kind.scale <= 2 and kind.precision <= 18:
+        return (value * 100).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return value.cast("bigint") * 100
+    return value
+
+
+def value_unit(activity: DataFrame) -> float:
+    """How many units of the ``value`` measure make one unit of money."""
+    return 100.0 if isinstance(activity.schema["value"].dataType, T.LongType) else 1.0
+
+
+def _amount(value: Column, unit: float) -> Column:
+    return value.cast("double") / F.lit(unit)
+
+
 def event_activity(events: DataFrame, window: ObservationWindow, partition_column: str | None = None) -> DataFrame:
     """Activity relation with one row per event of the window; a missing value counts as 0."""
-    value = F.coalesce("event_value", F.lit(DEFAULT_NUMBER).cast(events.schema["event_value"].dataType))
+    value = _minor_units(events)
     hour = F.hour("event_timestamp")
     return window_events(events, window, partition_column).select(
         "customer_id",
@@ -122,20 +146,21 @@ def frequency(window: ObservationWindow) -> list[Column]:
     ]
 
 
-def monetary() -> list[Column]:
+def monetary(unit: float) -> list[Column]:
+    total = _amount(F.sum("value"), unit)
     return [
-        F.sum("value").cast("double").alias("total_revenue"),
-        safe_ratio(F.sum("value"), F.sum("events")).alias("avg_event_value"),
-        F.max("value_max").cast("double").alias("max_event_value"),
+        total.alias("total_revenue"),
+        safe_ratio(total, F.sum("events")).alias("avg_event_value"),
+        _amount(F.max("value_max"), unit).alias("max_event_value"),
     ]
 
 
-def rolling(window: ObservationWindow, days: Sequence[int] = ROLLING_DAYS) -> list[Column]:
+def rolling(window: ObservationWindow, unit: float, days: Sequence[int] = ROLLING_DAYS) -> list[Column]:
     """Counts and revenue of the last n days; days start at midnight, so the date decides."""
     day = F.col("event_date")
     counts = [total_when(day >= window.cut(n), F.col("events")).alias(f"events_last_{n}d") for n in days]
     money = [
-        total_when(day >= window.cut(n), F.col("value")).cast("double").alias(f"revenue_last_{n}d") for n in days
+        _amount(total_when(day >= window.cut(n), F.col("value")), unit).alias(f"revenue_last_{n}d") for n in days
     ]
     return counts + money
 
@@ -154,6 +179,7 @@ def type_suffix(event_type: str) -> str:
 
 def per_type(
     window: ObservationWindow,
+    unit: float,
     event_types: Sequence[str] = EVENT_TYPES,
     valued_types: Sequence[str] = VALUED_TYPES,
 ) -> list[Column]:
@@ -165,7 +191,8 @@ def per_type(
         suffix = type_suffix(name)
         out.append(count.alias(f"count_{suffix}"))
         if name in valued_types:
-            out.append(safe_ratio(total_when(hit, F.col("value")), count).alias(f"avg_{suffix}_value"))
+            total = _amount(total_when(hit, F.col("value")), unit)
+            out.append(safe_ratio(total, count).alias(f"avg_{suffix}_value"))
         last = window.days_since(F.max(F.when(hit, F.col("event_date"))))
         out.append(F.coalesce(last, F.lit(DEFAULT_DAYS_AGO).cast("bigint")).alias(f"last_{suffix}_days_ago"))
     return out
@@ -212,7 +239,7 @@ def per_customer(activity: DataFrame, *columns: Column) -> DataFrame:
 
 
 def rolling_windows(activity: DataFrame, window: ObservationWindow, days: Sequence[int] = ROLLING_DAYS) -> DataFrame:
-    return per_customer(activity, *rolling(window, days)).select("*", *trend_ratios(days))
+    return per_customer(activity, *rolling(window, value_unit(activity), days)).select("*", *trend_ratios(days))
 
 
 def time_patterns(activity: DataFrame) -> DataFrame:
@@ -225,7 +252,7 @@ def event_type_features(
     event_types: Sequence[str] = EVENT_TYPES,
     valued_types: Sequence[str] = VALUED_TYPES,
 ) -> DataFrame:
-    return per_customer(activity, *per_type(window, event_types, valued_types))
+    return per_customer(activity, *per_type(window, value_unit(activity), event_types, valued_types))
 
 
 def distinct_event_types(activity: DataFrame, limit: int = MAX_PIVOT_TYPES) -> list[str]:
@@ -278,7 +305,7 @@ def rfm_features(activity: DataFrame, window: ObservationWindow) -> DataFrame:
         *frequency(window),
         F.sum("new_types").alias("unique_event_types"),
         F.count(F.lit(1)).alias("active_days"),
-        *monetary(),
+        *monetary(value_unit(activity)),
     )
 
 
@@ -289,6 +316,7 @@ def customer_rollup(
     valued_types: Sequence[str] = VALUED_TYPES,
 ) -> DataFrame:
     """All event-based features and the label, one row per active customer, two shuffles."""
+    unit = value_unit(activity)
     kinds = [(f"_k{i}", t) for i, t in enumerate(event_types)]
 
     def of_type(name: str, column: str) -> Column:
@@ -311,7 +339,7 @@ def customer_rollup(
         count = F.sum(f"{k}_n")
         by_type.append(count.alias(f"count_{suffix}"))
         if t in valued_types:
-            by_type.append(safe_ratio(F.sum(f"{k}_v"), count).alias(f"avg_{suffix}_value"))
+            by_type.append(safe_ratio(_amount(F.sum(f"{k}_v"), unit), count).alias(f"avg_{suffix}_value"))
         last = window.days_since(F.max(F.when(F.col(f"{k}_n") > 0, F.col("event_date"))))
         by_type.append(F.coalesce(last, F.lit(DEFAULT_DAYS_AGO).cast("bigint")).alias(f"last_{suffix}_days_ago"))
 
@@ -323,8 +351,8 @@ def customer_rollup(
         *frequency(window),
         F.sum("new_types").alias("unique_event_types"),
         F.count(F.lit(1)).alias("active_days"),
-        *monetary(),
-        *rolling(window),
+        *monetary(unit),
+        *rolling(window, unit),
         activity_slope(x, y).alias("activity_slope"),
         *patterns(),
         activity_consistency(y).alias("activity_consistency"),

@@ -140,7 +140,7 @@ def label_distribution(df: DataFrame, label_col: str = "label") -> DataFrame:
     """Row count and share per label value; values other than 0 and 1 (null included) are invalid."""
     if label_col not in df.columns:
         raise ValidationError(f"label column {label_col!r} not found")
-    counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = materialise(df.groupBy(F.col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n_rows")))
     total = counts.agg(F.sum("n_rows")).scalar()
     return counts.select(
         "label",
@@ -214,89 +214,75 @@ def orphan_events(customers: DataFrame, events: DataFrame) -> DataFrame:
     return events.join(broadcast_if_small(unknown), "customer_id", "left_semi")
 
 
-def _findings(df: DataFrame, check: str, column: Column, value: Column, severity: str) -> DataFrame:
-    return df.select(
-        F.lit(check).alias("check"),
-        column.cast("string").alias("column"),
-        value.cast("double").alias("value"),
-        F.lit(severity).alias("severity"),
-    )
-
-
 def validation_findings(
     df: DataFrame,
     max_missing_pct: float = MAX_MISSING_PCT,
     min_per_class: int = MIN_PER_CLASS,
     label_col: str = "label",
 ) -> DataFrame:
-    """Everything the checks object to, one row each: ``check, column, value, severity``."""
+    """Everything the checks object to, one row each: ``check, column, value, severity``.
+
+    Missing, infinite and extreme values and the labels are counted in one pass; repeated keys and
+    label correlations take one more each.
+    """
     if "customer_id" not in df.columns:
         return df.sparkSession.createDataFrame([("required_column", "customer_id", None, "error")], FINDINGS)
 
-    column = F.col("column")
-    repeated = duplicate_keys(df).agg(F.coalesce(F.sum("extra_rows"), F.lit(0)).alias("extra"))
-    ranges = value_ranges(df)
-    found = [
-        _findings(repeated.filter("extra > 0"), "duplicate_keys", F.lit("customer_id"), F.col("extra"), "error"),
-        _findings(
-            missing_values(df, max_missing_pct).filter("failed"), "missing_values", column, F.col("missing_pct"), "error"
-        ),
-        # Both range findings come from the same aggregate row.
-        ranges.select(
-            F.inline(
-                F.array(
-                    F.struct(
-                        F.lit("infinite_values").alias("check"), column, F.col("n_infinite").cast("double").alias("value")
-                    ),
-                    F.struct(
-                        F.lit("extreme_values").alias("check"),
-                        column,
-                        (F.col("n_high") + F.col("n_low") - F.col("n_infinite")).cast("double").alias("value"),
-                    ),
-                )
-            )
+    def finding(check: str, column: str, value: Column, bad: Column, severity: str = "error") -> Column:
+        return F.struct(
+            F.lit(check).alias("check"),
+            F.lit(column).alias("column"),
+            F.when(bad, value.cast("double")).alias("value"),
+            F.lit(severity).alias("severity"),
         )
-        .filter("value > 0")
-        .withColumn("severity", F.lit("error")),
-    ]
+
+    aggregates, findings = [F.count(F.lit(1)).alias("n")], []
+    for i, c in enumerate(df.columns):
+        aggregates.append(F.count_if(is_missing(df, c)).alias(f"m{i}"))
+        pct = safe_ratio(F.col(f"m{i}") * 100, F.col("n"))
+        findings.append(finding("missing_values", c, pct, pct > max_missing_pct))
+    for i, c in enumerate(numeric_columns(df, ("customer_id", label_col))):
+        x = present_double(df, c)
+        infinite = x.isin(float("inf"), float("-inf"))
+        aggregates += [
+            F.count_if(infinite).alias(f"inf{i}"),
+            F.count_if(~infinite & (F.abs(x) > EXTREME)).alias(f"far{i}"),
+        ]
+        for check, count in (("infinite_values", F.col(f"inf{i}")), ("extreme_values", F.col(f"far{i}"))):
+            findings.append(finding(check, c, count, count > 0))
     if label_col in df.columns:
         y = F.col(label_col)
-        labels = df.agg(
+        aggregates += [
             F.count_if(~F.coalesce(y.isin(0, 1), F.lit(False))).alias("invalid"),
             F.count_if(y == 0).alias("class_0"),
             F.count_if(y == 1).alias("class_1"),
+        ]
+        small = F.least("class_0", "class_1")
+        findings += [
+            finding("invalid_labels", label_col, F.col("invalid"), F.col("invalid") > 0),
+            finding("single_class", label_col, small, small == 0),
+            finding("small_class", label_col, small, (small > 0) & (small < min_per_class)),
+        ]
+    repeated = duplicate_keys(df).agg(F.coalesce(F.sum("extra_rows"), F.lit(0)).alias("extra"))
+    extra = F.col("extra")
+    out = (
+        df.agg(*aggregates)
+        .select(F.inline(F.array(*findings)))
+        .unionByName(
+            repeated.select(F.inline(F.array(finding("duplicate_keys", "customer_id", extra, extra > 0))))
         )
-        low = F.least("class_0", "class_1")
-
-        def objection(name: str, value: Column, bad: Column) -> Column:
-            return F.struct(F.lit(name).alias("check"), value.alias("v"), bad.alias("bad"))
-
-        objections = labels.select(
-            F.inline(
-                F.array(
-                    objection("invalid_labels", F.col("invalid"), F.col("invalid") > 0),
-                    objection("single_class", low, low == 0),
-                    objection("small_class", low, (low > 0) & (low < min_per_class)),
-                )
-            )
-        ).filter("bad")
-        found.append(
-            objections.select(
-                "check", F.lit(label_col).alias("column"), F.col("v").cast("double").alias("value"), F.lit("error").alias("severity")
-            )
-        )
-        found.append(
-            _findings(
-                label_correlations(df, label_col).filter("suspect"),
-                "label_correlation",
-                column,
-                F.col("correlation"),
-                "warning",
+        .filter(F.col("value").isNotNull())
+    )
+    if label_col in df.columns:
+        suspects = label_correlations(df, label_col).filter("suspect")
+        out = out.unionByName(
+            suspects.select(
+                F.lit("label_correlation").alias("check"),
+                "column",
+                F.col("correlation").alias("value"),
+                F.lit("warning").alias("severity"),
             )
         )
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
     return out
 
 

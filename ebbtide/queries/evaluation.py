@@ -230,7 +230,7 @@ def behaviour_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 def score_actions(spark: SparkSession, folder: str) -> DataFrame:
     """Decisions at the default parameters and at others that leave customers to monitor."""
-    scored = scored_labels(spark, folder).select("customer_id", "score")
+    scored = materialise(scored_labels(spark, folder).select("customer_id", "score"))
     wanted = (
         "customer_id",
         "churn_probability",
