@@ -45,17 +45,20 @@ def total_when(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value).otherwise(F.lit(0)))
 
 
+def _is_floating(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+
+
 def is_missing(df: DataFrame, name: str) -> Column:
     """Null, or NaN for a floating-point column."""
     missing = F.col(name).isNull()
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        missing = missing | F.isnan(name)
-    return missing
+    return missing | F.isnan(name) if _is_floating(df, name) else missing
 
 
 def present_double(df: DataFrame, name: str) -> Column:
     """The column as a double, null where it is missing."""
-    return F.when(~is_missing(df, name), F.col(name).cast("double"))
+    value = F.col(name).cast("double")
+    return F.nanvl(value, F.lit(None).cast("double")) if _is_floating(df, name) else value
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ("customer_id", "label")) -> list[str]:

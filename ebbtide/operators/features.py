@@ -5,9 +5,10 @@ event_type`` with the additive measures ``events, value, peak_events`` and the
 maximum ``value_max``.  One row per raw event and one row per (customer, day,
 type) are both valid grains, so the same aggregates run over either.
 
-The full table first collapses events to (customer, day, type) with map-side
-partial sums, and only then moves rows by customer.  A customer therefore never
-brings more than days x types rows to one task, however many events it has.
+The full table first collapses events to (customer, day) with map-side partial
+sums, and only then moves rows by customer.  A customer therefore never brings more
+than one row per day to one task (days x types rows when there are very many event
+types), however many events it has.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ PEAK_HOURS = (9, 17)
 EVENT_TYPES = ("purchase", "login", "page_view")
 VALUED_TYPES = ("purchase",)
 MAX_PIVOT_TYPES = 500
+# Bits of a positive long.
+MARKED_TYPES = 63
 
 MEASURES = ("events", "value", "value_max", "peak_events")
 
@@ -282,28 +285,63 @@ def activity_trend(activity: DataFrame, window: ObservationWindow) -> DataFrame:
     )
 
 
-def _with_type_marks(daily_types: DataFrame) -> DataFrame:
-    """Co-locate the pre-aggregated rows by customer and mark the first row of each type.
+def _type_columns(event_types: Sequence[str], valued_types: Sequence[str]) -> list[tuple[str, Column]]:
+    """Per-type count and value measures carried along with the daily rows."""
+    out = []
+    for i, name in enumerate(event_types):
+        hit = F.col("event_type") == F.lit(name)
+        out.append((f"_n{i}", F.coalesce(F.sum(F.when(hit, F.col("events"))), F.lit(0))))
+        if name in valued_types:
+            out.append((f"_v{i}", F.sum(F.when(hit, F.col("value")))))
+    return out
+
 
-    The later groupings by (customer, day) and by customer reuse this placement.
+def _customer_days(
+    activity: DataFrame,
+    event_types: Sequence[str],
+    valued_types: Sequence[str],
+    known_types: Sequence[str] | None,
+) -> tuple[DataFrame, Column]:
+    """One row per customer and active day, placed by customer, and the aggregate counting distinct types.
+
+    Up to 63 types are marked as bits of one number, so (customer, day) is the only grain that is
+    shuffled.  With more types the rows are collapsed to (customer, day, type) and the first row of
+    each type is marked after they are placed by customer.
     """
+    carried = [column.alias(name) for name, column in _type_columns(event_types, valued_types)]
+    if known_types is None:
+        known_types = [r[0] for r in activity.select("event_type").distinct().limit(MARKED_TYPES + 2).collect()]
+    marked = sorted(t for t in set(known_types) if t is not None)
+    if len(marked) <= MARKED_TYPES:
+        bit = F.lit(0).cast("bigint")
+        for i, name in enumerate(marked):
+            bit = F.when(F.col("event_type") == F.lit(name), F.lit(1 << i).cast("bigint")).otherwise(bit)
+        days = activity.groupBy("customer_id", "event_date").agg(
+            *_combine(), F.bit_or(bit).alias("type_bits"), *carried
+        )
+        return days.repartition("customer_id"), F.bit_count(F.bit_or("type_bits")).cast("bigint")
+
     first = Window.partitionBy("customer_id", "event_type").orderBy("event_date")
-    return daily_types.repartition("customer_id").withColumn(
-        "new_type", F.when(F.row_number().over(first) == 1, 1).otherwise(0).cast("bigint")
+    new = (F.row_number().over(first) == 1) & F.col("event_type").isNotNull()
+    days = (
+        daily_type_activity(activity)
+        .repartition("customer_id")
+        .withColumn("new_type", F.when(new, 1).otherwise(0).cast("bigint"))
+        .groupBy("customer_id", "event_date")
+        .agg(*_combine(), F.sum("new_type").alias("new_types"), *carried)
     )
+    return days, F.sum("new_types")
 
 
-def rfm_features(activity: DataFrame, window: ObservationWindow) -> DataFrame:
+def rfm_features(
+    activity: DataFrame, window: ObservationWindow, known_types: Sequence[str] | None = None
+) -> DataFrame:
     """Recency, frequency (with distinct types and days) and monetary value per customer."""
-    by_day = (
-        _with_type_marks(daily_type_activity(activity))
-        .groupBy("customer_id", "event_date")
-        .agg(*_combine(), F.sum("new_type").alias("new_types"))
-    )
+    by_day, distinct_types = _customer_days(activity, (), (), known_types)
     return by_day.groupBy("customer_id").agg(
         *recency(window),
         *frequency(window),
-        F.sum("new_types").alias("unique_event_types"),
+        distinct_types.alias("unique_event_types"),
         F.count(F.lit(1)).alias("active_days"),
         *monetary(value_unit(activity)),
     )
@@ -314,33 +352,20 @@ def customer_rollup(
     window: ObservationWindow,
     event_types: Sequence[str] = EVENT_TYPES,
     valued_types: Sequence[str] = VALUED_TYPES,
+    known_types: Sequence[str] | None = None,
 ) -> DataFrame:
     """All event-based features and the label, one row per active customer, two shuffles."""
     unit = value_unit(activity)
-    kinds = [(f"_k{i}", t) for i, t in enumerate(event_types)]
-
-    def of_type(name: str, column: str) -> Column:
-        return F.when(F.col("event_type") == F.lit(name), F.col(column))
-
-    by_day = (
-        _with_type_marks(daily_type_activity(activity))
-        .groupBy("customer_id", "event_date")
-        .agg(
-            *_combine(),
-            F.sum("new_type").alias("new_types"),
-            *[F.coalesce(F.sum(of_type(t, "events")), F.lit(0)).alias(f"{k}_n") for k, t in kinds],
-            *[F.sum(of_type(t, "value")).alias(f"{k}_v") for k, t in kinds if t in valued_types],
-        )
-    )
+    by_day, distinct_types = _customer_days(activity, event_types, valued_types, known_types)
 
     by_type = []
-    for k, t in kinds:
-        suffix = type_suffix(t)
-        count = F.sum(f"{k}_n")
+    for i, name in enumerate(event_types):
+        suffix = type_suffix(name)
+        count = F.sum(f"_n{i}")
         by_type.append(count.alias(f"count_{suffix}"))
-        if t in valued_types:
-            by_type.append(safe_ratio(_amount(F.sum(f"{k}_v"), unit), count).alias(f"avg_{suffix}_value"))
-        last = window.days_since(F.max(F.when(F.col(f"{k}_n") > 0, F.col("event_date"))))
+        if name in valued_types:
+            by_type.append(safe_ratio(_amount(F.sum(f"_v{i}"), unit), count).alias(f"avg_{suffix}_value"))
+        last = window.days_since(F.max(F.when(F.col(f"_n{i}") > 0, F.col("event_date"))))
         by_type.append(F.coalesce(last, F.lit(DEFAULT_DAYS_AGO).cast("bigint")).alias(f"last_{suffix}_days_ago"))
 
     x = days_between(F.col("event_date"), F.lit(window.start))
@@ -349,7 +374,7 @@ def customer_rollup(
         inactivity_label(window).alias("label"),
         *recency(window),
         *frequency(window),
-        F.sum("new_types").alias("unique_event_types"),
+        distinct_types.alias("unique_event_types"),
         F.count(F.lit(1)).alias("active_days"),
         *monetary(unit),
         *rolling(window, unit),
@@ -368,12 +393,16 @@ def compute_features(
     valued_types: Sequence[str] = VALUED_TYPES,
     partition_column: str | None = None,
     require_signup: bool = False,
+    known_types: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per customer with activity in the window: profile, label and all features.
 
     ``require_signup`` drops customers without a signup date instead of leaving their age null.
+    ``known_types`` lists every event type that occurs; without it the types are read from the window
+    first, a scan of one column.
     """
-    rollup = customer_rollup(event_activity(events, window, partition_column), window, event_types, valued_types)
+    activity = event_activity(events, window, partition_column)
+    rollup = customer_rollup(activity, window, event_types, valued_types, known_types)
     profiles = customers.select(
         "customer_id",
         F.coalesce("country", F.lit(DEFAULT_TEXT)).alias("country"),

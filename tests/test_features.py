@@ -203,9 +203,45 @@ def test_bounds_reach_the_scan_and_partitions(spark, tmp_path):
 
 def test_feature_table_shuffles_events_twice(spark, tmp_path):
     """One shuffle of pre-aggregated rows, one by customer; later groupings reuse the second."""
-    events, customers = str(tmp_path / "e"), str(tmp_path / "c")
-    make_events(spark, [("a", "login", at(1), 1)]).write.parquet(events)
-    make_customers(spark, ["a"]).write.parquet(customers)
-    rollup = ft.customer_rollup(ft.event_activity(spark.read.parquet(events), WINDOW), WINDOW)
-    plan = rollup._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
+    path = str(tmp_path / "e")
+    make_events(spark, [("a", "login", at(1), 1)]).write.parquet(path)
+    activity = ft.event_activity(spark.read.parquet(path), WINDOW)
+    for known in (["login"], [f"t{i}" for i in range(64)]):
+        rollup = ft.customer_rollup(activity, WINDOW, known_types=known)
+        plan = rollup._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("n_types", [5, 63, 64, 80])
+def test_distinct_types_for_few_and_many_types(spark, n_types):
+    rng = np.random.default_rng(n_types)
+    rows = [(f"c{i % 3}", f"type {rng.integers(0, n_types)}", at(int(rng.integers(1, 91))), 1.25) for i in range(400)]
+    rows += [("c0", f"type {i}", at(4), 2) for i in range(n_types)]
+    activity = ft.event_activity(make_events(spark, rows), WINDOW)
+    out = {r["customer_id"]: r for r in ft.rfm_features(activity, WINDOW).collect()}
+    for c, row in out.items():
+        mine = [r for r in rows if r[0] == c]
+        assert row["unique_event_types"] == len({r[1] for r in mine}) and row["total_events"] == len(mine)
+        assert row["active_days"] == len({r[2].date() for r in mine})
+        assert row["total_revenue"] == pytest.approx(sum(r[3] for r in mine))
+    table = ft.customer_rollup(activity, WINDOW, ("type 1", "type 2"), ("type 2",))
+    for r in table.collect():
+        mine = [x for x in rows if x[0] == r["customer_id"]]
+        assert r["count_type_1"] == sum(x[1] == "type 1" for x in mine)
+        assert r["avg_type_2_value"] == pytest.approx(np.mean([x[3] for x in mine if x[1] == "type 2"] or [0]))
+
+
+def test_types_without_a_name_are_not_counted(spark):
+    events = make_events(spark, [("a", "login", at(3), 1), ("a", "x", at(3), 1)])
+    unnamed = events.withColumn("event_type", F.expr("nullif(event_type, 'x')"))
+    activity = ft.event_activity(unnamed, WINDOW)
+    for known in (None, [f"t{i}" for i in range(70)]):
+        assert ft.rfm_features(activity, WINDOW, known).first()["unique_event_types"] == 1
+
+
+@pytest.mark.parametrize("kind, total", [("decimal(10,2)", 3.75), ("decimal(20,3)", 3.75), ("double", 3.75), ("int", 3.0)])
+def test_values_of_any_numeric_type(spark, kind, total):
+    events = make_events(spark, [("a", "login", at(3), 1.25), ("a", "login", at(4), 2.5), ("a", "login", at(4), None)])
+    typed = events.withColumn("event_value", F.col("event_value").cast(kind))
+    row = ft.rfm_features(ft.event_activity(typed, WINDOW), WINDOW).first()
+    assert row["total_revenue"] == total and row["avg_event_value"] == total / 3
