@@ -38,11 +38,11 @@ PARAMETERS = DecisionParameters(threshold=0.4, retention_cost=20.0, churn_loss=6
 
 SUMMARY_SCRIPT = """
 -- Customers per plan with a first order before the given day.
-CREATE OR REPLACE TEMPORARY VIEW early AS
-SELECT plan_type, monthly_revenue FROM customers WHERE signup_date < DATE'1996-01-01';
+CREATE OR REPLACE TEMPORARY VIEW early_customer_plans AS
+SELECT plan_type, monthly_revenue FROM customer_plans WHERE signup_date < DATE'1996-01-01';
 
 SELECT plan_type, count(*) AS n_customers, CAST(sum(monthly_revenue) AS DOUBLE) AS revenue
-FROM early WHERE monthly_revenue >= :floor GROUP BY plan_type;
+FROM early_customer_plans WHERE monthly_revenue >= :floor GROUP BY plan_type;
 """
 
 
@@ -74,7 +74,7 @@ def saved_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_script(spark: SparkSession, folder: str) -> DataFrame:
-    register_views({"customers": customers(spark, folder)})
+    register_views({"customer_plans": customers(spark, folder)})
     return finish(run_sql(spark, SUMMARY_SCRIPT, {"floor": 1000}))
 
 
