@@ -65,42 +65,46 @@ def exact_quantiles(
     return result
 
 
-def _values_at_ranks(values, sketch, probabilities, pending) -> dict:
-    """For each pending bracket the two neighbouring values, where the bracket holds them."""
-    below = values.agg(
-        *[F.count_if(F.col(f"_{i}") < F.lit(low)).alias(f"b{k}") for k, (i, _, low, _) in enumerate(pending)]
+def _values_at_ranks(values, sketch, probabilities, brackets) -> dict:
+    """For each bracket the two neighbouring values, where the bracket holds both ranks."""
+    counted = values.agg(
+        *[F.count_if(F.col(f"_{i}") < F.lit(low)).alias(f"b{k}") for k, (i, _, low, _) in enumerate(brackets)],
+        *[F.count_if(F.col(f"_{i}") <= F.lit(high)).alias(f"u{k}") for k, (i, _, _, high) in enumerate(brackets)],
     ).first()
+    found, open_brackets = {}, []
+    for k, (i, j, low, high) in enumerate(brackets):
+        low_rank, high_rank, _ = _ranks(sketch[f"n{i}"], probabilities[j])
+        if counted[f"b{k}"] <= low_rank and high_rank < counted[f"u{k}"]:
+            if low == high:
+                found[i, j] = (low, high)
+            else:
+                open_brackets.append((i, j, low, high, low_rank - counted[f"b{k}"], high_rank - counted[f"b{k}"]))
+    if not open_brackets:
+        return found
+
     inside = [
         F.when(
             (F.col(f"_{i}") >= F.lit(low)) & (F.col(f"_{i}") <= F.lit(high)),
             F.struct(F.lit(k).alias("k"), F.col(f"_{i}").alias("v")),
         )
-        for k, (i, _, low, high) in enumerate(pending)
+        for k, (i, _, low, high, _, _) in enumerate(open_brackets)
     ]
-    targets = []
-    for k, (i, j, _, _) in enumerate(pending):
-        low_rank, high_rank, _ = _ranks(sketch[f"n{i}"], probabilities[j])
-        targets.append((low_rank - below[f"b{k}"], high_rank - below[f"b{k}"]))
     counts = (
         values.select(F.explode(F.array_compact(F.array(*inside))).alias("h"))
         .groupBy(F.col("h.k").alias("k"), F.col("h.v").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    # Distinct values of a bracket: well below a thousandth of the rows.
     upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = F.array(
-        *[F.struct(F.lit(a).cast("bigint").alias("a"), F.lit(b).cast("bigint").alias("b")) for a, b in targets]
-    )
-    spans = counts.select(
-        "k", "v", F.sum("n").over(upto).alias("end"), "n", F.element_at(wanted, F.col("k") + 1).alias("t")
-    )
+    spans = counts.select("k", "v", "n", F.sum("n").over(upto).alias("end"))
     start = F.col("end") - F.col("n")
-    holds = {s: (F.col(f"t.{s}") >= start) & (F.col(f"t.{s}") < F.col("end")) for s in ("a", "b")}
-    rows = (
-        spans.groupBy("k")
-        .agg(*[F.max(F.when(cond, F.col("v"))).alias(s) for s, cond in holds.items()])
-        .collect()
-    )
-    return {pending[r["k"]][:2]: (r["a"], r["b"]) for r in rows}
+    columns = []
+    for name, position in (("a", 4), ("b", 5)):
+        target = F.get(F.lit([bracket[position] for bracket in open_brackets]), F.col("k"))
+        columns.append(F.max(F.when((target >= start) & (target < F.col("end")), F.col("v"))).alias(name))
+    for row in spans.groupBy("k").agg(*columns).collect():
+        found[open_brackets[row["k"]][:2]] = (row["a"], row["b"])
+    return found
 
 
 def exact_median(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.operators.business import BusinessScenario, best_under_budget, business_report, evaluate_counts
@@ -35,8 +35,9 @@ from ebbtide.plans.training import SEED, TrainedModel, train_model
 from ebbtide.plans.tuning import TuningResult, tune_model
 from ebbtide.session import materialise
 from ebbtide.sources.models import save_model
-from ebbtide.sources.raw import export_features, load_features
+from ebbtide.sources.raw import export_features, ingest, load_features
 from ebbtide.sources.reports import generate_error_report, load_metrics, save_csv, save_json
+from ebbtide.sources.tables import BASE_TABLES
 
 
 def make_features(
@@ -69,7 +70,7 @@ def tune_and_report(features: DataFrame, model_type: str, folder: str, **options
     return tuned
 
 
-def compare_saved_models(spark, paths: Sequence[str], output_path: str | None = None) -> DataFrame:
+def compare_saved_models(spark: SparkSession, paths: Sequence[str], output_path: str | None = None) -> DataFrame:
     """Test metrics of saved reports side by side, as CSV on request."""
     frames = [compare_models(load_metrics(spark, p)) for p in paths]
     compared = frames[0]
@@ -182,3 +183,22 @@ def full_run(
     business = business_evaluation(scored, scenarios, f"{reports}/business_evaluation")
     errors, failures = error_analysis(scored, reports, fnr_threshold, threshold)
     return RunResult(features, valid, trained, thresholds, business, errors, failures)
+
+
+def run_from_raw(
+    spark: SparkSession,
+    customers_path: str,
+    events_path: str,
+    window: ObservationWindow,
+    folder: str,
+    **options: Any,
+) -> RunResult:
+    """``full_run`` on raw CSV or Parquet files, staged with the declared schemas first."""
+    staged = {}
+    for name, path in (("customers", customers_path), ("events", events_path)):
+        staged[name], profiled, repeated = ingest(
+            spark, f"{folder}/staging/{name}", raw_file=path, schema=BASE_TABLES[name]
+        )
+        save_json(profiled, f"{folder}/reports/{name}_profile")
+        save_json(repeated, f"{folder}/reports/{name}_duplicates")
+    return full_run(staged["customers"], staged["events"], window, folder, **options)

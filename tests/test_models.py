@@ -10,6 +10,7 @@ from ebbtide.plans import jobs, training, tuning
 from ebbtide.queries.common import ORDER_TYPES, ORDER_WINDOW, customers, order_features, order_log
 from ebbtide.sources.models import load_model, save_model
 from ebbtide.streaming.scoring import read_feature_stream, start_scoring
+from tests.test_features import WINDOW, at, make_customers, make_events
 
 
 @pytest.fixture(scope="module")
@@ -175,3 +176,23 @@ def test_leaky_label_is_reported(spark):
     found = label_correlations(order_features(spark, "/root/testdata/sf0.01"))
     rows = {r["column"]: r["correlation"] for r in found.collect()}
     assert rows["days_since_last_event"] > 0.8
+
+
+def test_run_from_raw_csv_files(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    ids = [f"c{i}" for i in range(120)]
+    rows = []
+    for i, c in enumerate(ids):
+        last = int(rng.integers(31, 80)) if i % 3 == 0 else int(rng.integers(1, 25))
+        rows += [(c, ["login", "purchase"][k % 2], at(last + k, 10), 5) for k in range(int(rng.integers(2, 9)))]
+    paths = {}
+    for name, df in (("customers", make_customers(spark, ids)), ("events", make_events(spark, rows))):
+        paths[name] = str(tmp_path / "raw" / f"{name}.csv")
+        df.write.option("header", True).csv(paths[name])
+    result = jobs.run_from_raw(
+        spark, paths["customers"], paths["events"], WINDOW, str(tmp_path / "out"), params={"max_iter": 10}
+    )
+    assert result.features.count() == 120 and result.valid
+    assert result.features.agg({"label": "sum"}).first()[0] == 40
+    profile = spark.read.json(str(tmp_path / "out/reports/events_profile"))
+    assert profile.filter("column = 'metadata'").first()["missing_pct"] == 100.0
