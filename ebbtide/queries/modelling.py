@@ -148,7 +148,7 @@ def train_boosting(spark: SparkSession, folder: str) -> DataFrame:
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     trained = _trained(spark, folder, "random_forest", {"n_estimators": 10, "max_depth": 5})
-    return training.feature_importance(trained.model, _training_features(spark, folder))
+    return training.feature_importance(trained.model, trained.scored.drop("score", "prediction"))
 
 
 def tune(spark: SparkSession, folder: str) -> DataFrame:
