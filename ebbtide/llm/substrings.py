@@ -19,29 +19,13 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import words as W
 from ebbtide.llm.scratch import require, store
+from ebbtide.llm.sketch import Sketch, row_bits
 
 WINDOW, ANCHOR = 13, 6
 DEPTH = 3
-# Counters of a sketch row: twice the expected keys, within these powers of two.  The upper one bounds memory (one byte
-# each while counting, one bit each when sent out); beyond it more unique windows reach the exact grouping.
-LEAST_BITS, MOST_BITS = 16, 26
-SLICE = 1 << 16
-SALTS = (0x51ED270B7A4C9E35, 0x2545F4914F6CDD1D, 0xA0761D6478BD642F)
 NO_ID = np.iinfo(np.int64).max
 
 
-def sketch_bits(n_words: int, window: int = WINDOW, anchor: int = ANCHOR) -> int:
-    keys = 2 * n_words / (window - anchor + 2)
-    return int(min(max(int(2 * keys).bit_length(), LEAST_BITS), MOST_BITS))
-
-
-def _cells(keys: np.ndarray, bits: int) -> list[np.ndarray]:
-    with np.errstate(over="ignore"):
-        return [
-            (row << bits) + (W.mix(keys ^ W.U64(SALTS[row])) >> W.U64(64 - bits)).astype(np.int64) for row in range(DEPTH)
-        ]
-
-
 def _minimisers(hashes: np.ndarray, starts: np.ndarray, window: int, anchor: int) -> np.ndarray:
     """Minimiser of the window at each word of ``starts``."""
     runs = W.window_hashes(hashes, anchor, W.BASES[0])
@@ -59,77 +43,22 @@ def _pieces(array: pa.Array) -> Iterator[tuple[int, int, W.Words]]:
         yield first, last, W.split_words(data[part[0] : part[-1]], part - part[0])
 
 
-def _partial_sketch(bits: int, window: int, anchor: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(DEPTH << bits, np.uint8)
-        for batch in batches:
-            for _, _, words in _pieces(batch.column(0)):
-                starts = np.flatnonzero(W.window_starts(words, window))
-                if not len(starts):
-                    continue
+def _minimiser_keys(window: int, anchor: int):
+    def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, words in _pieces(batch.column(0)):
+            starts = np.flatnonzero(W.window_starts(words, window))
+            if len(starts):
                 keys = _minimisers(W.word_hashes(words), starts, window, anchor)
                 # A document counts a run of windows with one minimiser once.
                 owner = words.documents()[starts]
-                new = np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]
-                for cells in _cells(keys[new], bits):
-                    cells, n = np.unique(cells, return_counts=True)
-                    counts[cells] = np.minimum(counts[cells].astype(np.int64) + n, 255)
-        slices = counts.reshape(-1, min(SLICE, len(counts)))
-        for i in np.flatnonzero(slices.any(axis=1)):
-            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([slices[i].tobytes()])], ["slice", "counts"])
-
-    return run
-
-
-def _merge_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums the partial counts of each slice, which come in a row, and keeps one bit: at least two."""
-    current, total = None, None
-
-    def finished() -> pa.RecordBatch:
-        bits = np.packbits(total >= 2).tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([bits])], ["slice", "bits"])
-
-    for batch in batches:
-        for index, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-            part = np.frombuffer(counts.as_buffer(), np.uint8).astype(np.int64)
-            if index != current:
-                if current is not None:
-                    yield finished()
-                current, total = index, part
-            else:
-                total = np.minimum(total + part, 255)
-    if current is not None:
-        yield finished()
-
-
-def repeated_bits(texts: DataFrame, bits: int, window: int = WINDOW, anchor: int = ANCHOR) -> np.ndarray:
-    """One bit per counter of the merged sketch: whether it is two or more; at most ``DEPTH << MOST_BITS`` bits.
-
-    Each task sends the touched slices of its sketch, compressed by the shuffle; a slice is summed one part at a time.
-    """
-    partial = texts.mapInArrow(_partial_sketch(bits, window, anchor), "slice int, counts binary")
-    merged = (
-        partial.repartition("slice").sortWithinPartitions("slice").mapInArrow(_merge_slices, "slice int, bits binary")
-    )
-    size = min(SLICE, DEPTH << bits) // 8
-    out = np.zeros((DEPTH << bits) // 8, np.uint8)
-    for row in merged.toLocalIterator():
-        out[row["slice"] * size : row["slice"] * size + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
+                yield keys[np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]]
 
-def _likely(bits_of: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    out = np.ones(len(keys), bool)
-    for cells in _cells(keys, bits):
-        rows = np.flatnonzero(out)
-        at = cells[rows]
-        out[rows] = (bits_of[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-    return out
+    return keys_of
 
 
-def _candidates(sketch, bits: int, window: int, anchor: int):
+def _candidates(shared, window: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits_of = sketch.value
+        sketch = shared.value
         for batch in batches:
             order, spare = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for first, last, words in _pieces(batch.column(2)):
@@ -137,7 +66,7 @@ def _candidates(sketch, bits: int, window: int, anchor: int):
                 if not len(starts):
                     continue
                 hashes = W.word_hashes(words)
-                starts = starts[_likely(bits_of, _minimisers(hashes, starts, window, anchor), bits)]
+                starts = starts[sketch.reaches(_minimisers(hashes, starts, window, anchor))]
                 if not len(starts):
                     continue
                 key = W.window_hashes(hashes, window)[starts]
@@ -231,10 +160,11 @@ def remove_repeats(
         F.when(F.col(id_col).isNull(), F.xxhash64(text)).otherwise(F.lit(0)).alias("spare"),
     )
     letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    bits = sketch_bits(letters // 6, window, anchor)
-    sketch = spark.sparkContext.broadcast(repeated_bits(rows.select("text"), bits, window, anchor))
+    # About one minimiser in (window - anchor + 2) / 2 words of six letters.
+    sketch = Sketch(row_bits(letters / 3 / (window - anchor + 2)), DEPTH, 2)
+    shared = spark.sparkContext.broadcast(sketch.gather(rows.select("text"), _minimiser_keys(window, anchor)))
     candidates = rows.select("order", "spare", "text").mapInArrow(
-        _candidates(sketch, bits, window, anchor), "key long, check int, order long, spare long"
+        _candidates(shared, window, anchor), "key long, check int, order long, spare long"
     )
     groups = candidates.groupBy("key", "check").agg(F.min("order").alias("first"), F.max("order").alias("last"))
     groups = store(groups.where("first < last").select("key", "check", "first"), "repeated-windows")
