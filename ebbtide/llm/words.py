@@ -18,7 +18,7 @@ U64 = np.uint64
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 # Odd numbers, so that they have an inverse modulo 2^64.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +94,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=4)
 def _powers(base: int, inverse: bool, n: int) -> np.ndarray:
     number = pow(base, -1, 1 << 64) if inverse else base
     out = np.full(n, U64(number))
@@ -105,7 +105,7 @@ def _powers(base: int, inverse: bool, n: int) -> np.ndarray:
 
 def word_hashes(words: Words, base: int = BASES[0]) -> np.ndarray:
     """64-bit hash of each word's bytes: a difference of prefix sums, shifted back to the word's start."""
-    n = 1 << max(len(words.data), PIECE_BYTES).bit_length()
+    n = 1 << (max(len(words.data), PIECE_BYTES, 2) - 1).bit_length()
     with np.errstate(over="ignore"):
         sums = np.zeros(len(words.data) + 1, U64)
         np.cumsum((words.data.astype(U64) + U64(1)) * _powers(base, False, n)[: len(words.data)], out=sums[1:])
