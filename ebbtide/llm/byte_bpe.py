@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from ebbtide.llm.pairs import PairTable
 from ebbtide.llm.scratch import require
 
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 PAIRS = 500_000
 TOGETHER = 20_000
+DECODED_IDS = 1 << 18
 RESOLVE_CHARS = 2_000_000
 
 
@@ -428,12 +429,16 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids_col: str =
         codec = load(path, pattern)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids_col))
-            lengths = np.array(column.value_lengths().fill_null(0))
-            data, sizes = codec.decode(np.array(column.flatten()))
-            token_ends = np.r_[0, np.cumsum(sizes)]
-            cuts = token_ends[np.r_[0, np.cumsum(lengths)]].tolist()
-            decoded = pa.array([data[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())
-            yield batch.append_column("decoded", decoded)
+            begins = np.r_[0, np.cumsum(np.array(column.value_lengths().fill_null(0)))]
+            ids = np.array(column.flatten())
+            first = 0
+            while first < len(column):
+                last = max(first + 1, int(np.searchsorted(begins, begins[first] + DECODED_IDS, side="right")) - 1)
+                data, sizes = codec.decode(ids[begins[first] : begins[last]])
+                cuts = np.r_[0, np.cumsum(sizes)][begins[first : last + 1] - begins[first]].tolist()
+                decoded = pa.array([data[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())
+                yield batch.slice(first, last - first).append_column("decoded", decoded)
+                first = last
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, f"{fields}, decoded binary")

@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame
 
 from ebbtide.llm import words as W
 
-SLICE = 1 << 16
-# Bounds of a row's size: a counter takes a byte while counting and a bit when it is sent to the tasks.
-LEAST_BITS, MOST_BITS = 16, 26
+SLICE_BITS = 18
+SLICE = 1 << SLICE_BITS
+# Keys a task gathers before it sends them on.
+GATHERED = 1 << 21
+# Bounds of a row's size; merged counters are one bit each when they are sent to the tasks.
+LEAST_BITS, MOST_BITS = 18, 27
 SALTS = (0x51ED270B7A4C9E35, 0x2545F4914F6CDD1D, 0xA0761D6478BD642F)
 Keys = Callable[[pa.RecordBatch], Iterator[np.ndarray]]
 
@@ -28,6 +31,19 @@ def row_bits(keys: float) -> int:
     return int(min(max(int(2 * keys).bit_length(), LEAST_BITS), MOST_BITS))
 
 
+def _gaps(cells: np.ndarray) -> bytes:
+    """Sorted numbers as differences of one byte; 255 adds to the one behind it."""
+    gaps = np.diff(cells, prepend=0)
+    out = np.full(int((gaps // 255).sum()) + len(gaps), 255, np.uint8)
+    out[np.cumsum(gaps // 255 + 1) - 1] = gaps % 255
+    return out.tobytes()
+
+
+def _positions(gaps: pa.Buffer) -> np.ndarray:
+    steps = np.frombuffer(gaps, np.uint8)
+    return np.cumsum(steps, dtype=np.int64)[steps != 255]
+
+
 class Sketch:
     """``depth`` rows of ``1 << bits`` counters; after ``gather`` one bit each: count at least ``limit`` (up to 255)."""
 
@@ -40,20 +56,27 @@ class Sketch:
         return (row << self.bits) + spread.astype(np.int64)
 
     def _count(self, keys_of: Keys) -> Callable:
-        size, depth, cells_of = self.depth << self.bits, self.depth, self.cells
+        def sparse(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            """Touched counters, one entry for each count, as gaps within their slice."""
+            keys = np.concatenate(parts)
+            cells = np.sort(np.concatenate([self.cells(keys, row) for row in range(self.depth)]))
+            slices, begins = np.unique(cells >> SLICE_BITS, return_index=True)
+            for index, part in zip(slices.tolist(), np.split(cells & (SLICE - 1), begins[1:])):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([index], pa.int32()), pa.array([_gaps(part)])], ["slice", "counts"]
+                )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts = np.zeros(size, np.uint8)
+            parts, size = [], 0
             for batch in batches:
                 for keys in keys_of(batch):
-                    for row in range(depth):
-                        cells, n = np.unique(cells_of(keys, row), return_counts=True)
-                        counts[cells] = np.minimum(counts[cells].astype(np.int64) + n, 255)
-            slices = counts.reshape(-1, SLICE)
-            for i in np.flatnonzero(slices.any(axis=1)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i], pa.int32()), pa.array([slices[i].tobytes()])], ["slice", "counts"]
-                )
+                    parts.append(keys)
+                    size += len(keys)
+                    if size >= GATHERED:
+                        yield from sparse(parts)
+                        parts, size = [], 0
+            if size:
+                yield from sparse(parts)
 
         return run
 
@@ -67,20 +90,19 @@ class Sketch:
 
         for batch in batches:
             for index, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(counts.as_buffer(), np.uint8).astype(np.int64)
-                if index == current:
-                    total = np.minimum(total + part, 255)
-                    continue
-                if current is not None:
-                    yield finished()
-                current, total = index, part
+                if index != current:
+                    if current is not None:
+                        yield finished()
+                    current, total = index, np.zeros(SLICE, np.int32)
+                total += np.bincount(_positions(counts.as_buffer()), minlength=SLICE).astype(np.int32)
+                np.minimum(total, 255, out=total)
         if current is not None:
             yield finished()
 
     def gather(self, df: DataFrame, keys_of: Keys) -> Sketch:
         """Count the keys that ``keys_of`` finds in the batches of ``df``.
 
-        A task sends the slices it touched, which the shuffle compresses; the driver gets one bit per counter.
+        A task sends about a byte for each key and row; the driver gets one bit per counter.
         """
         merged = (
             df.mapInArrow(self._count(keys_of), "slice int, counts binary")
