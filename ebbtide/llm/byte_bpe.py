@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm.pairs import PairTable
 from ebbtide.llm.scratch import require
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
 PAIRS = 500_000
 TOGETHER = 20_000
 DECODED_IDS = 1 << 18
@@ -299,6 +299,7 @@ class Codec:
         self.bpe = PrefixBPE(read_ranks(path))
         self.pattern = regex.compile(pattern)
         self.cache: dict[str, bytes | None] = {}
+        self.unsafe: set[str] = set()  # chunks of the cache that must not be cut
         self.pieces: dict[str, bytes] = {}
         size = max(self.bpe.bytes_of) + 1
         self.token_bytes = [self.bpe.bytes_of.get(i, b"") for i in range(size)]
@@ -345,6 +346,7 @@ class Codec:
         """
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
+            self.unsafe.clear()
         if len(self.pieces) > CACHE_ENTRIES:
             self.pieces.clear()
         cut: list[list[str] | None] = []
@@ -357,18 +359,29 @@ class Codec:
                 cut.append(chunks)
                 new.update(filterfalse(self.cache.__contains__, chunks[1:]))
         matched = {c: self._chunk(c) for c in new}
+        self.unsafe.update(c for c, matches in matched.items() if matches is None)
+        unsafe = self.unsafe
         whole: dict[int, list[str]] = {}
         for i, (text, chunks) in enumerate(zip(texts, cut)):
-            unsafe = chunks is None or any(matched.get(c, "") is None for c in chunks[1:]) if new else chunks is None
-            if unsafe or any(self.cache.get(c, b"") is None for c in chunks[1:]):
+            if chunks is None or not unsafe.isdisjoint(chunks[1:]):
                 whole[i] = self._pieces(text)
         firsts = [None if i in whole else self._pieces(c[0]) for i, c in enumerate(cut)]
         wanted = chain(*whole.values(), *(m for m in matched.values() if m), *(f for f in firsts if f))
-        self._resolve(set(filterfalse(self.pieces.__contains__, wanted)))
+        unknown = set(filterfalse(self.pieces.__contains__, wanted))
+        self._resolve(unknown)
         piece = self.pieces.__getitem__
+        once = {}
         for chunk, matches in matched.items():
-            self.cache[chunk] = None if matches is None else b"".join(map(piece, matches))
-        chunk = self.cache.__getitem__
+            # A chunk with a match never met before is not likely to come back; it is remembered when it does.
+            into = self.cache if matches is None or unknown.isdisjoint(matches) else once
+            into[chunk] = None if matches is None else b"".join(map(piece, matches))
+        if once:
+            known = self.cache.get
+
+            def chunk(c: str) -> bytes:
+                return known(c) or once[c]
+        else:
+            chunk = self.cache.__getitem__
         return [
             b"".join(map(piece, whole[i])) if i in whole else b"".join([*map(piece, firsts[i]), *map(chunk, cut[i][1:])])
             for i in range(len(texts))
@@ -394,10 +407,17 @@ def _slices(texts: list[str], limit: int = RESOLVE_CHARS) -> Iterator[tuple[int,
 
 
 def encode_documents(
-    docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decode: bool = False,
 ) -> DataFrame:
     """``doc_id``, ``n_tokens`` and ``ids`` (array of int) of each row, without special tokens.
 
+    ``decode`` adds ``decoded``, the bytes that the ids stand for, by the same worker process.
+
     ``path``: a rank file that every executor has; ``pattern`` cuts texts into the matches that are encoded one by one.
     Null and empty texts have no ids.  Ids may be null or repeated; every row gives one row.  Other columns are not
     read.  No shuffle; a task holds one Arrow batch and about two million characters of encoded text.
@@ -414,11 +434,27 @@ def encode_documents(
                 values = pa.array(np.frombuffer(b"".join(parts), "<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), values)
                 keys = batch.column(0).slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([keys, pa.array(counts), ids], ["doc_id", "n_tokens", "ids"])
+                out = pa.RecordBatch.from_arrays([keys, pa.array(counts), ids], ["doc_id", "n_tokens", "ids"])
+                yield from _decoded(codec, out, "ids") if decode else [out]
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>" + ", decoded binary" * decode)
+
+
+def _decoded(codec: Codec, batch: pa.RecordBatch, ids_col: str) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batch`` with ``decoded``, about ``DECODED_IDS`` ids at a time."""
+    column = batch.column(batch.schema.get_field_index(ids_col))
+    begins = np.r_[0, np.cumsum(np.array(column.value_lengths().fill_null(0)))]
+    ids = np.array(column.flatten())
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(begins, begins[first] + DECODED_IDS, side="right")) - 1)
+        data, sizes = codec.decode(ids[begins[first] : begins[last]])
+        cuts = np.r_[0, np.cumsum(sizes)][begins[first : last + 1] - begins[first]].tolist()
+        decoded = pa.array([data[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())
+        yield batch.slice(first, last - first).append_column("decoded", decoded)
+        first = last
 
 
 def decode_documents(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
@@ -428,17 +464,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str, ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = load(path, pattern)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(ids_col))
-            begins = np.r_[0, np.cumsum(np.array(column.value_lengths().fill_null(0)))]
-            ids = np.array(column.flatten())
-            first = 0
-            while first < len(column):
-                last = max(first + 1, int(np.searchsorted(begins, begins[first] + DECODED_IDS, side="right")) - 1)
-                data, sizes = codec.decode(ids[begins[first] : begins[last]])
-                cuts = np.r_[0, np.cumsum(sizes)][begins[first : last + 1] - begins[first]].tolist()
-                decoded = pa.array([data[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())
-                yield batch.slice(first, last - first).append_column("decoded", decoded)
-                first = last
+            yield from _decoded(codec, batch, ids_col)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, f"{fields}, decoded binary")

@@ -32,9 +32,8 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
-    encoded = byte_bpe.encode_documents(table(spark, folder, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode_documents(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
-    return decoded.select(
+    docs = table(spark, folder, "documents")
+    return byte_bpe.encode_documents(docs, BYTE_RANKS, public_tokenizers.PATTERN, decode=True).select(
         "doc_id",
         "n_tokens",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
