@@ -7,11 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.scratch import require, store
+from ebbtide.llm.scratch import fresh, require, store
 from ebbtide.session import scratch_path
 
 WHITESPACE = r"[\x20\x09-\x0D]+"
-# Java reads \x20 as a literal space here, and the class holds tab to carriage return.
 BUCKETS = 64
 INDEX_SCHEMA = "digest BINARY, keep_id BIGINT, batch STRING"
 
@@ -88,7 +87,7 @@ def deduplicate(
     so adaptive execution splits that key.
     """
     require(docs, id_col, text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(text_col)).alias("digest"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), digest(F.col(f"`{text_col}`")).alias("digest"))
     rows = store(rows, "digests")
     groups = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("group_size"))
     decided = store(index.add(store(groups, "groups"), batch), "decided")
@@ -106,17 +105,19 @@ def temporary_index(spark: SparkSession) -> DigestIndex:
     return DigestIndex.open(spark, scratch_path(spark, "digest-index"))
 
 
-def keep_first(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text"):
-    """The rows of ``docs`` that stay, with their columns; one of several equal rows with one id."""
+def keep_first(
+    docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of several rows that tie for a group, any one."""
     verdict = deduplicate(docs, index, batch, id_col, text_col).where("kept")
-    verdict = verdict.select(F.col("doc_id").alias("_kept_id"), F.unhex("text_sha256").alias("_kept_digest")).distinct()
-    marked = docs.withColumn("_digest", digest(F.col(text_col)))
-    joined = marked.join(
-        verdict,
-        F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest")),
-        "left_semi",
-    )
-    surplus = joined.groupBy(F.col("_digest").alias("_d")).count().where("count > 1").select("_d")
-    single = joined.join(surplus, F.col("_digest") == F.col("_d"), "left_anti")
-    several = joined.join(surplus, F.col("_digest") == F.col("_d"), "left_semi").dropDuplicates(["_digest"])
-    return single.unionByName(several).drop("_digest")
+    verdict = verdict.groupBy("doc_id", F.unhex("text_sha256").alias("digest")).agg(F.count(F.lit(1)).alias("rows"))
+    verdict = store(verdict, "kept").withColumnsRenamed({"doc_id": "kept_id", "digest": "kept_digest"})
+    name = fresh(docs, "digest")
+    marked = docs.withColumn(name, digest(F.col(f"`{text_col}`")))
+
+    def rows(of: DataFrame) -> DataFrame:
+        same = marked[id_col].cast("long").eqNullSafe(of["kept_id"]) & (marked[name] == of["kept_digest"])
+        return marked.join(of, same, "left_semi")
+
+    single, tied = rows(verdict.where("rows = 1")), rows(verdict.where("rows > 1"))
+    return single.unionByName(tied.dropDuplicates([name])).drop(name)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import words as W
 from ebbtide.llm.components import connected_components
-from ebbtide.llm.scratch import require, store
+from ebbtide.llm.scratch import require, store, text_key
 from ebbtide.llm.sketch import Sketch, row_bits
 
 # A shingle of at least so many documents is frequent; regions of others are smaller than this.
@@ -41,7 +41,7 @@ PIVOTS = 4
 # A region of at most so many documents is compared pair by pair; doubled with every level, so the recursion ends.
 SMALL_REGION = 16
 NODE_BITS = 23
-MEMBERS = "doc_id long, order long, n_shingles int, node binary, rare array<long>, frequent array<long>"
+MEMBERS = "doc_id long, order long, text_key long, n_shingles int, node binary, rare array<long>, frequent array<long>"
 SETS = "node binary, shingles array<long>"
 
 
@@ -93,7 +93,7 @@ def _members(shared, size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = shared.value
         for batch in batches:
-            for first, last, keys, begins in shingle_sets(batch.column(2), size):
+            for first, last, keys, begins in shingle_sets(batch.column(3), size):
                 sizes = np.diff(begins)
                 frequent = sketch.reaches(keys)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -106,12 +106,13 @@ def _members(shared, size: int, percent: int):
                     [
                         batch.column(0).slice(first, last - first),
                         batch.column(1).slice(first, last - first),
+                        batch.column(2).slice(first, last - first),
                         pa.array(sizes.astype(np.int32)),
                         pa.array(_digests(keys, begins), pa.binary()),
                         _lists(keys[taken][cold], np.bincount(part[cold], minlength=len(sizes))),
                         _lists(keys[taken][~cold], np.bincount(part[~cold], minlength=len(sizes))),
                     ],
-                    ["doc_id", "order", "n_shingles", "node", "rare", "frequent"],
+                    ["doc_id", "order", "text_key", "n_shingles", "node", "rare", "frequent"],
                 )
 
     return run
@@ -247,13 +248,13 @@ class _Join:
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` of each row.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_key`` of each row.
 
     Letters A-Z are lowered; a set holds the distinct shingles of ``size`` words, or the whole text if it has fewer.
     Two rows are linked if ``100 |x and y| >= percent |x or y|``; ``component_id`` is the smallest id reachable by links.
     Null and empty texts have no shingles and no links: their component is their own id.  A null id is larger than every
     id; a component of null ids only has a null id.  ``kept`` marks one row of each component, the one with the smallest
-    id (of equal ids the one with the smallest set digest; rows repeated with one id and set are all marked).  Other
+    id (of equal ids the one with the smallest set digest; rows repeated with one id and set are all marked).  ``text_key`` is a hash of the text.  Other
     columns are not read.
 
     ``percent`` is 50 to 99.  Passes over the texts: their length, the sketch, the members, the sets of candidates.
@@ -267,13 +268,14 @@ def near_duplicates(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("order"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        text_key(text_col).alias("text_key"),
     )
     texts = rows.select("text")
     letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     shingles = Sketch(row_bits(letters / 6), 1, FREQUENT).gather(
         texts, lambda batch: (keys for _, _, keys, _ in shingle_sets(batch.column(0), size))
     )
-    members = store(rows.mapInArrow(_members(broadcast(shingles), size, percent), MEMBERS), "members")
+    members = store(rows.select("doc_id", "order", "text_key", "text").mapInArrow(_members(broadcast(shingles), size, percent), MEMBERS), "members")
     filled = members.where("n_shingles > 0")
 
     def region_rows(column: str) -> DataFrame:
@@ -308,19 +310,20 @@ def near_duplicates(
         regions = run.level(regions, level)
         level += 1
     labels = run.labels()
-    verdict = members.select("doc_id", "order", "n_shingles", "node").join(labels, "node", "left")
+    verdict = members.select("doc_id", "order", "text_key", "n_shingles", "node").join(labels, "node", "left")
     # Sets without a link stand for their copies; rows without shingles stand alone.
     verdict = verdict.withColumn("component", F.coalesce("component", "node"))
     verdict = store(verdict, "verdict")
     linked = verdict.where("n_shingles > 0")
     best = store(linked.groupBy("component").agg(F.min(F.struct("order", "node")).alias("best")), "best")
     alone = verdict.where("n_shingles = 0").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"), "text_key"
     )
     grouped = linked.join(best, "component").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("best.order") < (1 << 63) - 1, F.col("best.order")).alias("component_id"),
         (F.struct("order", "node") == F.col("best")).alias("kept"),
+        "text_key",
     )
     return grouped.unionByName(alone).withColumn("n_shingles", F.col("n_shingles").cast("long"))

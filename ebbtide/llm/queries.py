@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import byte_bpe, chat, exact_dedup, substrings, token_counts, token_files
+from ebbtide.llm import byte_bpe, chat, embeddings, exact_dedup, jaccard, substrings, token_counts, token_files
 from ebbtide.llm.shipping import ship_package
 from ebbtide.session import scratch_path
 
@@ -55,6 +55,17 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_token_files(spark, out)
 
 
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return embeddings.near_vectors(table(spark, folder, "embeddings"), 0.9)
+
+
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    linked = jaccard.near_duplicates(table(spark, folder, "documents"), size=3, percent=90)
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     extra = spark.createDataFrame(
         [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")],
@@ -70,6 +81,8 @@ QUERIES = {
     "op4_byte_bpe": op4_byte_bpe,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_files": op7_token_files,
+    "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_format": op10_chat_format,
 }
 
@@ -102,6 +115,36 @@ s AS (
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN s USING (doc_id)""",
+    "op8_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND list_aggregate(embedding, 'count') = len(embedding)
+    AND isfinite(list_aggregate(embedding, 'sum'))
+    AND (list_aggregate(embedding, 'max') <> 0 OR list_aggregate(embedding, 'min') <> 0)),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT vec_id AS node, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.node),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT node AS vec_id, coalesce(any_value(n_links), 0) AS n_links, min(c) AS component_id, node = min(c) AS kept
+FROM r LEFT JOIN n ON n.a = r.node GROUP BY node""",
+    "op9_jaccard_join": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+  FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+l AS (
+  SELECT a, b FROM i JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * i >= 90 * (p.n + q.n - i)),
+r AS (SELECT doc_id AS node, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.node)
+SELECT node AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(c) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.node GROUP BY node""",
     "op10_chat_format": r"""
 WITH c AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations

@@ -21,11 +21,17 @@ PAD = PACKINGS[0][0]
 U64 = np.uint64
 
 
+_WIDTH_OF = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _widths(values: np.ndarray) -> np.ndarray:
-    """Bits each number needs."""
-    high = (values >> U64(32)).astype(np.float64)
-    low = (values & U64(0xFFFFFFFF)).astype(np.float64)
-    return np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
+    """Bits each number needs, by its four 16-bit quarters."""
+    out = _WIDTH_OF[values & U64(0xFFFF)]
+    top = int(values.max(initial=0)).bit_length()
+    for shift in range(16, top, 16):
+        quarter = _WIDTH_OF[(values >> U64(shift)) & U64(0xFFFF)]
+        out = np.where(quarter > 0, quarter + np.uint8(shift), out)
+    return out
 
 
 def block_counts(lengths: np.ndarray, size: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +54,7 @@ def encode(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     room = np.zeros(int((counts + PAD).sum()) + PAD, U64)
     room[np.repeat(begins - (np.cumsum(counts) - counts), counts) + np.arange(len(values))] = values
     width = _widths(room)
-    selector = np.zeros(len(room), np.uint8)
+    fitting = np.zeros(len(room), np.uint8)
     most = width.copy()
     reach = 1
     # From the packing of one number to that of sixty; what stands behind a block is zero and fits everything.
@@ -57,7 +63,9 @@ def encode(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
         while reach < held:
             most[:-reach] = np.maximum(most[:-reach], width[reach:])
             reach += 1
-        selector[most <= bits] = code
+        fitting += most <= bits
+    # What fits a packing fits every one of fewer and wider numbers, so the count tells the first that fits.
+    selector = np.where(fitting > 0, len(PACKINGS) + 1 - fitting, ESCAPE).astype(np.uint8)
     at, ends = begins, begins + counts
     taken = np.zeros(len(room), bool)
     while len(at):
@@ -66,7 +74,7 @@ def encode(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
         more = at < ends
         at, ends = at[more], ends[more]
     starts = np.flatnonzero(taken)
-    owner = np.searchsorted(begins, starts, side="right") - 1
+    per_block = np.diff(np.searchsorted(starts, np.r_[begins, len(room)]))
     chosen = selector[starts]
     words = chosen.astype(U64) << U64(60)
     for code in np.unique(chosen):
@@ -78,8 +86,12 @@ def encode(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
         packed = room[starts[rows][:, None] + lanes] << (lanes * bits).astype(U64)
         words[rows] |= np.bitwise_or.reduce(packed, axis=1)
     escapes = np.flatnonzero(chosen == ESCAPE)
-    words = np.insert(words, escapes + 1, room[starts[escapes]])
-    per_block = np.bincount(owner, minlength=len(counts)) + np.bincount(owner[escapes], minlength=len(counts))
+    if len(escapes):
+        words = np.insert(words, escapes + 1, room[starts[escapes]])
+    if len(escapes):
+        per_block = per_block + np.bincount(
+            np.searchsorted(begins, starts[escapes], side="right") - 1, minlength=len(counts)
+        )
     return words, per_block
 
 

@@ -33,12 +33,11 @@ from ebbtide.llm import simple8b
 from ebbtide.llm.scratch import require
 
 MAGIC = b"EBBT8B01"
-CACHE_ENTRIES = 800_000
+CACHE_ENTRIES = 1_500_000
 GROUP = 200
 RESOLVE_CHARS = 2_000_000
 READ_WORDS = 1 << 20
 ODD_SPACES = ("\x1c", "\x1d", "\x1e", "\x1f")
-ENCODED = "doc_id long, n_tokens long, block_words binary, words binary"
 MANIFEST = "shard long, file string, n_docs long, n_tokens long"
 
 
@@ -98,44 +97,23 @@ def load(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def encode_documents(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``n_tokens``, and the document's Simple-8b words with the words of each block."""
+def _encoded(texts: list[str], path: str, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For parts of ``texts``: their number, ids per text, Simple-8b words, words per block."""
+    encoder, end = load(path), np.array([end_id], "<u4").tobytes()
+    step = max(1, int(len(texts) * RESOLVE_CHARS / (1 + sum(map(len, texts)))))
+    for i in range(0, len(texts), step):
+        part = [ids + end for ids in encoder.encode(texts[i : i + step])]
+        lengths = np.array([len(x) // 4 for x in part], np.int64)
+        _, counts = simple8b.block_counts(lengths)
+        words, per_block = simple8b.encode(np.frombuffer(b"".join(part), "<u4").astype(np.uint64), counts)
+        yield len(part), lengths, words, per_block
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = load(path), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            step = max(1, int(len(texts) * RESOLVE_CHARS / (1 + sum(map(len, texts)))))
-            for i in range(0, len(texts), step):
-                part = [ids + end for ids in encoder.encode(texts[i : i + step])]
-                lengths = np.array([len(x) // 4 for x in part], np.int64)
-                ids = np.frombuffer(b"".join(part), "<u4").astype(np.uint64)
-                blocks, counts = simple8b.block_counts(lengths)
-                words, per_block = simple8b.encode(ids, counts)
-                ends = np.cumsum(blocks)
-                word_ends = np.r_[0, np.cumsum(per_block)]
-                packed, sizes = words.astype("<u8").tobytes(), per_block.astype("<i8").tobytes()
-                cuts = list(zip((ends - blocks).tolist(), ends.tolist()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(i, step),
-                        pa.array(lengths),
-                        pa.array([sizes[8 * a : 8 * b] for a, b in cuts], pa.binary()),
-                        pa.array([packed[8 * word_ends[a] : 8 * word_ends[b]] for a, b in cuts], pa.binary()),
-                    ],
-                    ["doc_id", "n_tokens", "block_words", "words"],
-                )
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")))
-    return rows.mapInArrow(run, ENCODED)
-
-
-def _write_shard(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _write_shard(folder: str, path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     shard, name = TaskContext.get().partitionId(), f"ids-{uuid.uuid4().hex}.s8b"
-    sink, n_words, blocks, docs = None, 0, [], []
-    n_blocks = 0
+    sink, n_words, n_blocks, blocks, docs = None, 0, 0, [], []
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -144,18 +122,16 @@ def _write_shard(folder: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
             system.create_dir(root, recursive=True)
             sink = system.open_output_stream(f"{root}/{name}")
             sink.write(MAGIC)
-        lengths = batch.column(1).to_numpy()
-        per_block = np.frombuffer(b"".join(batch.column(2).to_pylist()), "<i8")
-        block_of_doc, counts = simple8b.block_counts(lengths)
-        for words in batch.column(3):
-            sink.write(words.as_buffer())
-        before = n_words + np.cumsum(per_block) - per_block
-        blocks.append(np.stack([before, counts], 1))
-        has_id = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+        has_id = batch.column(0).is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
         ids = batch.column(0).fill_null(0).to_numpy()
-        docs.append(np.stack([ids, has_id.astype(np.int64), n_blocks + np.cumsum(block_of_doc) - block_of_doc, lengths], 1))
-        n_words += int(per_block.sum())
-        n_blocks += len(per_block)
+        first = 0
+        for n, lengths, words, per_block in _encoded(batch.column(1).to_pylist(), path, end_id):
+            of_doc, counts = simple8b.block_counts(lengths)
+            sink.write(words.astype("<u8").tobytes())
+            blocks.append(np.stack([n_words + np.cumsum(per_block) - per_block, counts], 1))
+            rows = slice(first, first + n)
+            docs.append(np.stack([ids[rows], has_id[rows], n_blocks + np.cumsum(of_doc) - of_doc, lengths], 1))
+            n_words, n_blocks, first = n_words + len(words), n_blocks + len(per_block), first + n
     if sink is None:
         return
     table = np.concatenate(docs)
@@ -174,13 +150,14 @@ def write_token_files(
     """Write shards and ``_manifest`` below ``folder``; returns the manifest with each shard's ``start``.
 
     Null texts are empty and hold only ``end_id``.  Rows without an id come first, rows with one id in the order of
-    their encoded words; every row is written.  No rows give no shard.  Texts are encoded where they are read, and only
-    the packed words are sent by ranges of ids.
+    a hash of their texts; every row is written.  No rows give no shard.  Texts are sent by ranges of ids (only ids and
+    texts are read to find the ranges) and encoded once, by the task that writes the shard.
     """
     require(docs, id_col, text_col)
-    rows = encode_documents(docs, path, end_id, id_col, text_col)
-    ordered = rows.repartitionByRange("doc_id", F.xxhash64("words")).sortWithinPartitions("doc_id", "words")
-    manifest = ordered.mapInArrow(lambda batches: _write_shard(folder, batches), MANIFEST)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+    manifest = ordered.mapInArrow(lambda batches: _write_shard(folder, path, end_id, batches), MANIFEST)
     manifest.write.parquet(f"{folder}/_manifest")
     return read_manifest(docs.sparkSession, folder)
 
