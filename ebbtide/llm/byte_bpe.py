@@ -18,9 +18,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.llm.pairs import PairTable
-from ebbtide.llm.scratch import require
+from ebbtide.llm.scratch import fresh, require
 
 CACHE_ENTRIES = 500_000
 PAIRS = 500_000
@@ -429,12 +430,9 @@ def encode_documents(
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for first, last in _slices(texts):
-                parts = codec.encode(texts[first:last])
-                counts = np.array([len(p) // 4 for p in parts], np.int64)
-                values = pa.array(np.frombuffer(b"".join(parts), "<i4"))
-                ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), values)
                 keys = batch.column(0).slice(first, last - first)
-                out = pa.RecordBatch.from_arrays([keys, pa.array(counts), ids], ["doc_id", "n_tokens", "ids"])
+                counts, ids = _id_lists(codec.encode(texts[first:last]))
+                out = pa.RecordBatch.from_arrays([keys, counts, ids], ["doc_id", "n_tokens", "ids"])
                 yield from _decoded(codec, out, "ids") if decode else [out]
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -442,6 +440,33 @@ def encode_documents(
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>" + ", decoded binary" * decode)
 
 
+def add_ids(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, and ``n_tokens`` and ``ids`` (under longer names if it has such columns)."""
+    require(docs, text_col)
+    names = fresh(docs, "n_tokens"), fresh(docs, "ids")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = load(path, pattern)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+            for first, last in _slices(texts):
+                counts, ids = _id_lists(codec.encode(texts[first:last]))
+                out = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays(
+                    [*out.columns, counts, ids], [*batch.schema.names, *names]
+                )
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.LongType())])
+    return docs.mapInArrow(run, schema.add(names[1], T.ArrayType(T.IntegerType())))
+
+
+def _id_lists(parts: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """Numbers of ids, and the ids, of encoded texts."""
+    counts = np.array([len(p) // 4 for p in parts], np.int64)
+    values = pa.array(np.frombuffer(b"".join(parts), "<i4"))
+    return pa.array(counts), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), values)
+
+
 def _decoded(codec: Codec, batch: pa.RecordBatch, ids_col: str) -> Iterator[pa.RecordBatch]:
     """The rows of ``batch`` with ``decoded``, about ``DECODED_IDS`` ids at a time."""
     column = batch.column(batch.schema.get_field_index(ids_col))

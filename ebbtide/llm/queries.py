@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import byte_bpe, chat, embeddings, exact_dedup, jaccard, substrings, token_counts, token_files
+from ebbtide.llm import (
+    byte_bpe,
+    chat,
+    embeddings,
+    exact_dedup,
+    jaccard,
+    mixing,
+    quality,
+    substrings,
+    token_counts,
+    token_files,
+)
 from ebbtide.llm.shipping import ship_package
 from ebbtide.session import scratch_path
 
@@ -14,6 +25,9 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 END_ID = 2
 TOKEN_LIMIT = 2048
+# Shares of sources, languages and topics in proportion to their words to these powers; 70 % of all words are kept.
+MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.8}
+MIX_FRACTION = 0.7
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +39,31 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.deduplicate(docs, exact_dedup.temporary_index(spark), "all")
 
 
+def site_columns() -> tuple[Column, Column]:
+    """Host and path of a document: its source, and the language section of the source."""
+    return F.col("source"), F.concat_ws("/", "source", "lang")
+
+
+def mix_dimensions() -> dict[str, Column]:
+    """Source, language, and as topic the kind of text, told by its form."""
+    text = F.coalesce("text", F.lit(""))
+    topic = (
+        F.when(text.contains("@") | text.rlike(r"\d{4,}"), "records")
+        .when(text.contains("License") | text.contains("Copyright"), "licensed")
+        .when(F.length(text) < 500, "notes")
+        .when(F.length(text) < 4000, "articles")
+        .otherwise("long reads")
+    )
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": topic}
+
+
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    decided, _ = mixing.mixture(table(spark, folder, "documents"), mix_dimensions(), MIX_POWERS, fraction=MIX_FRACTION)
+    return decided.select(
+        "row.doc_id", "source", "lang", "topic", F.col("tokens").cast("long").alias("tokens"), "probability", "kept"
+    )
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     return token_counts.count_tokens(table(spark, folder, "documents"), WORD_BPE, TOKEN_LIMIT)
@@ -41,6 +80,12 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return quality.classify(docs, labels, *site_columns()).select("doc_id", "p_low", "p_toxic", "kept")
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     return substrings.remove_repeats(table(spark, folder, "documents")).select(
@@ -77,8 +122,10 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_mixing": op2_mixing,
     "op3_token_counts": op3_token_counts,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality": op5_quality,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_token_files": op7_token_files,
     "op8_embedding_dedup": op8_embedding_dedup,
