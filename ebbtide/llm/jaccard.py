@@ -9,7 +9,9 @@ windows into the region makes the regions independent: each is joined on its own
   order.  The nearest pivot of a set (equal distances are decided by the order) is its first shingle.  If x and y are
   within ``eps``, then |y \\ x| is at most ``w(y) = |y| - ceil((1 - eps) |y|)``; of the pivots before the first one they
   share, y can hold at most ``w(y)``.  So y is copied into the regions of its first ``w(y) + 1`` shingles and no other.
-  Shingles that a count-min sketch calls frequent come last in the order, so almost all regions are small.
+  With ``SHARED`` - 1 shingles more, partners meet in ``SHARED`` regions (or in as many as they must share at all), so a
+  pair that meets less often is dropped before its sets are looked at.  Shingles that a count-min sketch calls frequent
+  come last in the order, so almost all regions are small.
 * Further levels.  The regions of frequent shingles hold large groups of near copies.  There distances say much:
   documents are compared with a few document pivots, go to the region of the nearest one and to those within
   ``2 eps``, and are cut into rings of width ``eps`` around it, copied into the next ring.  Documents within ``eps`` of
@@ -17,7 +19,8 @@ windows into the region makes the regions independent: each is joined on its own
   documents (with those of the rings beside it) are all connected already is dropped.
 
 Links are decided with whole numbers from whole sets.  Sets are compared by 64-bit hashes of shingles and documents
-with equal sets stand as one node, named by a 128-bit digest.
+with equal sets stand as one node, named by a 64-bit number; should two 128-bit digests of sets get one number, all are
+numbered anew.
 """
 
 from __future__ import annotations
@@ -37,12 +40,15 @@ from ebbtide.llm.sketch import Sketch, row_bits
 
 # A shingle of at least so many documents is frequent; regions of others are smaller than this.
 FREQUENT = 8
-PIVOTS = 4
+PIVOTS = 2
+SHARED = 4
 # A region of at most so many documents is compared pair by pair; doubled with every level, so the recursion ends.
 SMALL_REGION = 16
-NODE_BITS = 23
-MEMBERS = "doc_id long, order long, text_key long, n_shingles int, node binary, rare array<long>, frequent array<long>"
-SETS = "node binary, shingles array<long>"
+MEMBERS = (
+    "doc_id long, order long, text_key long, n_shingles int, node long, digest binary, "
+    "rare array<long>, frequent array<long>"
+)
+SETS = "node long, shingles array<long>"
 
 
 def shingle_sets(array: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -71,23 +77,33 @@ def shingle_sets(array: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndar
         yield first, last, keys, np.searchsorted(owner, np.arange(last - first + 1))
 
 
-def _digests(keys: np.ndarray, begins: np.ndarray) -> list[bytes]:
-    """128 bits for each set: two sums of differently mixed hashes, and its size in the mix."""
+def _digests(keys: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """128 bits for each set: two sums of differently mixed hashes, with its size in the mix."""
     with np.errstate(over="ignore"):
         sizes = np.diff(begins).astype(W.U64)
         halves = []
         for salt in W.BASES:
             sums = np.r_[W.U64(0), np.cumsum(W.mix(keys * W.U64(salt) + W.U64(salt)))]
             halves.append(W.mix(sums[begins[1:]] - sums[begins[:-1]] + sizes * W.U64(salt)))
-    raw = np.stack(halves, 1).astype(">u8").tobytes()
-    return [raw[16 * i : 16 * i + 16] for i in range(len(sizes))]
+    return np.stack(halves, 1)
+
+
+def _nodes(digests: np.ndarray, salt: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return W.signed(W.mix(digests[:, 0] ^ W.mix(digests[:, 1] + W.U64(salt))))
+
+
+def _place(nodes: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Key of a node together with the document that stands for it."""
+    with np.errstate(over="ignore"):
+        return W.mix(nodes.astype(np.int64).view(W.U64) + W.mix(order.astype(np.int64).view(W.U64)))
 
 
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(W.signed(values)))
 
 
-def _members(shared, size: int, percent: int):
+def _members(shared, size: int, percent: int, salt: int):
     """Node, set size and the first shingles of each document, the rare and the frequent ones apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,44 +114,43 @@ def _members(shared, size: int, percent: int):
                 frequent = sketch.reaches(keys)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 order = np.lexsort((frequent, owner))
-                wanted = sizes - -(-sizes * percent // 100) + 1
+                wanted = sizes - -(-sizes * percent // 100) + SHARED
                 ahead = np.arange(len(keys)) - begins[:-1][owner] < wanted[owner]
                 taken = order[ahead]
                 part, cold = owner[taken], ~frequent[taken]
+                digests = _digests(keys, begins)
+                raw = digests.astype(">u8").tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         batch.column(1).slice(first, last - first),
                         batch.column(2).slice(first, last - first),
                         pa.array(sizes.astype(np.int32)),
-                        pa.array(_digests(keys, begins), pa.binary()),
+                        pa.array(_nodes(digests, salt)),
+                        pa.array([raw[16 * i : 16 * i + 16] for i in range(len(sizes))], pa.binary()),
                         _lists(keys[taken][cold], np.bincount(part[cold], minlength=len(sizes))),
                         _lists(keys[taken][~cold], np.bincount(part[~cold], minlength=len(sizes))),
                     ],
-                    ["doc_id", "order", "text_key", "n_shingles", "node", "rare", "frequent"],
+                    ["doc_id", "order", "text_key", "n_shingles", "node", "digest", "rare", "frequent"],
                 )
 
     return run
 
 
-def _node_keys(nodes: pa.Array) -> np.ndarray:
-    """First half of each node's digest."""
-    return np.frombuffer(b"".join(nodes.to_pylist()), ">u8").reshape(-1, 2)[:, 0].astype(W.U64)
-
-
-def _sets_of(shared, size: int):
-    """Whole sets of the documents whose node may be wanted."""
+def _sets_of(shared, size: int, salt: int):
+    """Whole sets of the documents that stand for a wanted node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
         for batch in batches:
-            for _, _, keys, begins in shingle_sets(batch.column(0), size):
-                nodes = pa.array(_digests(keys, begins), pa.binary())
-                rows = np.flatnonzero(wanted.reaches(_node_keys(nodes)) & (np.diff(begins) > 0))
+            order = batch.column(0).to_numpy()
+            for first, last, keys, begins in shingle_sets(batch.column(1), size):
+                nodes = _nodes(_digests(keys, begins), salt)
+                rows = np.flatnonzero(wanted.reaches(_place(nodes, order[first:last])) & (np.diff(begins) > 0))
                 counts = np.diff(begins)[rows]
                 ends = np.cumsum(counts)
                 at = np.repeat(begins[:-1][rows] - (ends - counts), counts) + np.arange(counts.sum())
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(rows)), _lists(keys[at], counts)], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), _lists(keys[at], counts)], ["node", "shingles"])
 
     return run
 
@@ -147,8 +162,9 @@ def _near(inter: Column, a: Column, b: Column, percent: int) -> Column:
 class _Join:
     """State of one run: sets, links found so far, and what the next level has to look at."""
 
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent = sets, percent
+    def __init__(self, percent: int):
+        self.sets: DataFrame | None = None
+        self.percent = percent
         self.eps = 1 - percent / 100
         self.links: list[DataFrame] = []
 
@@ -176,18 +192,33 @@ class _Join:
     def labels(self) -> DataFrame:
         return store(connected_components(reduce(DataFrame.unionByName, self.links)), "labels")
 
-    def small_pairs(self, regions: DataFrame) -> DataFrame:
-        """Pairs inside regions of a bounded number of documents: different components, sizes that allow a link."""
-        members = regions.groupBy("region").agg(F.sort_array(F.collect_list(F.struct("node", "n", "label"))).alias("m"))
+    def small_pairs(self, regions: DataFrame, *more: str) -> DataFrame:
+        """Pairs ``p``, ``q`` of members of each region, whose sizes allow a link; regions have few documents."""
+        member = F.struct("node", "n", *more)
+        members = regions.groupBy("region").agg(F.sort_array(F.collect_list(member)).alias("m")).where("size(m) > 1")
         pairs = members.select(F.posexplode("m").alias("i", "p"), "m").select(
             "p", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("q")
         )
         fits = F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * self.percent
-        return (
-            pairs.where(fits & (F.col("p.label") != F.col("q.label")))
-            .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-            .distinct()
+        return pairs.where(fits & (F.col("p.node") != F.col("q.node")))
+
+    def met_often(self, rare: DataFrame) -> DataFrame:
+        """Pairs that meet in as many regions of rare shingles as partners must.
+
+        Shingles that both could share among their frequent ones are taken as shared.
+        """
+        must = F.ceil(F.greatest("p.n", "q.n") * self.percent / 100)
+        need = F.least(F.lit(SHARED), must) - F.least("p.f", "q.f")
+        met = self.small_pairs(rare, "f").select(
+            F.col("p.node").alias("a"), F.col("q.node").alias("b"), need.cast("int").alias("need")
         )
+        met = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.first("need").alias("need"))
+        return met.where("met >= need").select("a", "b")
+
+    def apart(self, regions: DataFrame) -> DataFrame:
+        """Distinct pairs inside regions whose documents are not connected yet."""
+        pairs = self.small_pairs(regions, "label").where(F.col("p.label") != F.col("q.label"))
+        return pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
     def level(self, regions: DataFrame, level: int) -> DataFrame | None:
         """One level over ``regions`` (region, node, n), one row per document and region; the rows of the next level."""
@@ -239,14 +270,14 @@ class _Join:
         open_ = store(spans.where("low <> high").select("region", "size"), "open")
         limit = SMALL_REGION << level
         small = named.join(open_.where(F.col("size") <= limit).select("region"), "region", "left_semi")
-        self.measure(self.small_pairs(small), "ring-pairs")
+        self.measure(self.apart(small), "ring-pairs")
         large = named.join(open_.where(F.col("size") > limit).select("region"), "region", "left_semi")
         large = store(large.select("region", "node", "n"), "large")
         return None if large.isEmpty() else large
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", salt: int = 0
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``text_key`` of each row.
 
@@ -254,7 +285,7 @@ def near_duplicates(
     Two rows are linked if ``100 |x and y| >= percent |x or y|``; ``component_id`` is the smallest id reachable by links.
     Null and empty texts have no shingles and no links: their component is their own id.  A null id is larger than every
     id; a component of null ids only has a null id.  ``kept`` marks one row of each component, the one with the smallest
-    id (of equal ids the one with the smallest set digest; rows repeated with one id and set are all marked).  ``text_key`` is a hash of the text.  Other
+    id (of equal ids the one with the smallest node; rows repeated with one id and set are all marked).  ``text_key`` is a hash of the text.  Other
     columns are not read.
 
     ``percent`` is 50 to 99.  Passes over the texts: their length, the sketch, the members, the sets of candidates.
@@ -275,35 +306,44 @@ def near_duplicates(
     shingles = Sketch(row_bits(letters / 6), 1, FREQUENT).gather(
         texts, lambda batch: (keys for _, _, keys, _ in shingle_sets(batch.column(0), size))
     )
-    members = store(rows.select("doc_id", "order", "text_key", "text").mapInArrow(_members(broadcast(shingles), size, percent), MEMBERS), "members")
-    filled = members.where("n_shingles > 0")
-
-    def region_rows(column: str) -> DataFrame:
-        # Copies of a set are one row before anything else happens.
-        found = filled.select(F.explode(column).alias("region"), "node", F.col("n_shingles").alias("n"))
-        return found.groupBy("region", "node").agg(F.first("n").alias("n"))
-
-    own = F.col("node").alias("label")
+    members = store(
+        rows.select("doc_id", "order", "text_key", "text").mapInArrow(
+            _members(broadcast(shingles), size, percent, salt), MEMBERS
+        ),
+        "members",
+    )
+    # One document stands for all with its set, the first; the others are narrow rows until the end.
+    who = F.struct("order", "text_key")
+    classes = members.where("n_shingles > 0").groupBy("node").agg(
+        F.min(who).alias("who"), F.min("digest").alias("low"), F.max("digest").alias("high")
+    )
+    classes = store(classes, "classes")
+    if not classes.where("low <> high").isEmpty():
+        return near_duplicates(docs, size, percent, id_col, text_col, salt + 1)
+    firsts = members.join(classes.select("node", "who"), "node").where(who == F.col("who"))
+    firsts = store(
+        firsts.select("node", "order", F.col("n_shingles").alias("n"), "rare", "frequent").dropDuplicates(["node"]), "firsts"
+    )
     # A rare shingle stands in fewer than FREQUENT documents, so its region is a short list.
-    rare = filled.select(F.explode("rare").alias("region"), "node", F.col("n_shingles").alias("n"))
-    frequent = region_rows("frequent")
-    crowded = frequent.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    frequent = store(frequent, "frequent")
-    crowded = store(crowded, "crowded")
-    tiny = frequent.join(crowded.where(F.col("size") <= SMALL_REGION).select("region"), "region", "left_semi")
-    large = frequent.join(crowded.where(F.col("size") > SMALL_REGION).select("region"), "region", "left_semi")
+    rare = firsts.select(F.explode("rare").alias("region"), "node", "n", F.size("frequent").alias("f"))
+    frequent = store(firsts.select(F.explode("frequent").alias("region"), "node", "n"), "frequent")
+    sizes = frequent.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = store(sizes, "sizes")
+    tiny = frequent.join(sizes.where(F.col("size") <= SMALL_REGION).select("region"), "region", "left_semi")
+    large = frequent.join(sizes.where(F.col("size") > SMALL_REGION).select("region"), "region", "left_semi")
     large = store(large, "large")
 
-    wanted_nodes = Sketch(NODE_BITS, 1, 1)
-    run = _Join(None, percent)
-    first_pairs = run.small_pairs(rare.select("*", own)).unionByName(run.small_pairs(tiny.select("*", own)))
+    run = _Join(percent)
+    first_pairs = run.met_often(rare).unionByName(run.apart(tiny.withColumn("label", F.col("node"))))
     first_pairs = store(first_pairs.distinct(), "pairs")
     nodes = first_pairs.select(F.col("a").alias("node")).unionByName(first_pairs.select(F.col("b").alias("node")))
-    nodes = nodes.unionByName(large.select("node"))
-    wanted_nodes.gather(nodes, lambda batch: iter([_node_keys(batch.column(0))]))
-    sets = texts.mapInArrow(_sets_of(broadcast(wanted_nodes), size), SETS)
-    sets = sets.join(nodes.distinct(), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    run.sets = store(sets, "sets")
+    nodes = nodes.unionByName(large.select("node")).distinct()
+    nodes = store(firsts.select("node", "order").join(nodes, "node", "left_semi"), "wanted")
+    wanted = Sketch(row_bits(8 * nodes.count()), 1, 1).gather(
+        nodes, lambda batch: iter([_place(batch.column(0).to_numpy(), batch.column(1).to_numpy())])
+    )
+    sets = rows.select("order", "text").mapInArrow(_sets_of(broadcast(wanted), size, salt), SETS)
+    run.sets = store(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
     run.measure(first_pairs, "distances")
     level, regions = 0, None if large.isEmpty() else large
     while regions is not None:
