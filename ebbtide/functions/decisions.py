@@ -1,4 +1,4 @@
-"""Scoring decisions: expected value, recommended action and confidence."""
+"""Scoring decisions: expected value, recommended action and confidence; null without a prediction."""
 
 from __future__ import annotations
 
@@ -23,7 +23,7 @@ def recommended_action(predicted: Column, value: Column) -> Column:
     return (
         F.when(predicted & (value > 0), F.lit("intervene"))
         .when(predicted, F.lit("monitor"))
-        .otherwise(F.lit("no_action"))
+        .when(~predicted, F.lit("no_action"))
     )
 
 
@@ -34,4 +34,8 @@ def confidence(action: Column, probability: Column) -> Column:
         .otherwise(F.lit("low"))
     )
     leave = F.when(probability < LOW_PROBABILITY, F.lit("high")).otherwise(F.lit("medium"))
-    return F.when(action == "intervene", intervene).when(action == "monitor", F.lit("low")).otherwise(leave)
+    return (
+        F.when(action == "intervene", intervene)
+        .when(action == "monitor", F.lit("low"))
+        .when(action == "no_action", leave)
+    )

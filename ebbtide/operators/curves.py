@@ -8,18 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.expressions import safe_ratio
 from ebbtide.operators.ranking import running_totals
 
 
+def is_scored(score_col: str) -> Column:
+    """Null and NaN are no scores: such rows are on no curve and in no ranking."""
+    return F.col(score_col).isNotNull() & ~F.isnan(F.col(score_col).cast("double"))
+
+
 def _cumulative(scored: DataFrame, label_col: str, score_col: str, group: Sequence[str]) -> DataFrame:
     """Per distinct score, from high to low: its positives and negatives, running and total counts."""
     y = F.col(label_col)
     counts = (
-        scored.filter(F.col(score_col).isNotNull())
+        scored.filter(is_scored(score_col) & F.col(label_col).isin(0, 1))
         .groupBy(*group, F.col(score_col).alias("threshold"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )

@@ -7,8 +7,8 @@ type) are both valid grains, so the same aggregates run over either.
 
 The full table first collapses events to (customer, day) with map-side partial
 sums, and only then moves rows by customer.  A customer therefore never brings more
-than one row per day to one task (days x types rows when there are very many event
-types), however many events it has.
+than one row per day to one task, however many events it has.  Distinct types are
+counted beside it from (customer, type) pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,6 @@ WEEKEND = (0, 6)
 PEAK_HOURS = (9, 17)
 EVENT_TYPES = ("purchase", "login", "page_view")
 VALUED_TYPES = ("purchase",)
-MAX_PIVOT_TYPES = 500
-# Bits of a positive long.
-MARKED_TYPES = 63
 
 MEASURES = ("events", "value", "value_max", "peak_events")
 
@@ -176,8 +173,24 @@ def patterns() -> list[Column]:
     ]
 
 
-def type_suffix(event_type: str) -> str:
-    return re.sub(r"[^0-9a-z]+", "_", event_type.lower()).strip("_")
+def type_suffix(event_type: str | None) -> str:
+    """Letters and digits of any alphabet stay; a missing type and one without letters have names of their own."""
+    if event_type is None:
+        return "missing_type"
+    return re.sub(r"[\W_]+", "_", event_type.lower()).strip("_") or "unnamed_type"
+
+
+def type_suffixes(event_types: Sequence[str | None]) -> list[str]:
+    """Column suffixes of the listed types; two types with one suffix are an error."""
+    suffixes = [type_suffix(name) for name in event_types]
+    clashing = sorted({s for s in suffixes if suffixes.count(s) > 1})
+    if clashing:
+        raise ValueError(f"event types share the column suffix {', '.join(clashing)}: pass types that differ")
+    return suffixes
+
+
+def is_type(name: str | None) -> Column:
+    return F.col("event_type").eqNullSafe(F.lit(name).cast("string"))
 
 
 def per_type(
@@ -188,10 +201,9 @@ def per_type(
 ) -> list[Column]:
     """Count, mean value and days since the last event for each listed type."""
     out = []
-    for name in event_types:
-        hit = F.col("event_type") == F.lit(name)
+    for name, suffix in zip(event_types, type_suffixes(event_types)):
+        hit = is_type(name)
         count = total_when(hit, F.col("events"))
-        suffix = type_suffix(name)
         out.append(count.alias(f"count_{suffix}"))
         if name in valued_types:
             total = _amount(total_when(hit, F.col("value")), unit)
@@ -258,12 +270,22 @@ def event_type_features(
     return per_customer(activity, *per_type(window, value_unit(activity), event_types, valued_types))
 
 
-def distinct_event_types(activity: DataFrame, limit: int = MAX_PIVOT_TYPES) -> list[str]:
-    """Event types of the window in name order; refuses a column explosion instead of dropping types."""
-    rows = activity.select("event_type").distinct().orderBy("event_type").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} event types: pass the list to pivot")
-    return [r[0] for r in rows]
+def event_type_long(activity: DataFrame, window: ObservationWindow) -> DataFrame:
+    """Count, mean value and days since the last event for every type, one row per customer and type.
+
+    The form for any number of types; ``event_type_features`` makes columns of the types that are listed.
+    """
+    unit, total = value_unit(activity), F.sum("events")
+    return activity.groupBy("customer_id", "event_type").agg(
+        total.alias("n_events"),
+        safe_ratio(_amount(F.sum("value"), unit), total).alias("avg_value"),
+        window.days_since(F.max("event_date")).alias("last_days_ago"),
+    )
+
+
+def event_types(activity: DataFrame) -> DataFrame:
+    """The types of the window with their events, from which a caller picks the ones to make columns of."""
+    return activity.groupBy("event_type").agg(F.sum("events").alias("n_events"))
 
 
 def churn_labels(activity: DataFrame, window: ObservationWindow) -> DataFrame:
@@ -289,78 +311,62 @@ def _type_columns(event_types: Sequence[str], valued_types: Sequence[str]) -> li
     """Per-type count and value measures carried along with the daily rows."""
     out = []
     for i, name in enumerate(event_types):
-        hit = F.col("event_type") == F.lit(name)
+        hit = is_type(name)
         out.append((f"_n{i}", F.coalesce(F.sum(F.when(hit, F.col("events"))), F.lit(0))))
         if name in valued_types:
             out.append((f"_v{i}", F.sum(F.when(hit, F.col("value")))))
     return out
 
 
-def _customer_days(
-    activity: DataFrame,
-    event_types: Sequence[str],
-    valued_types: Sequence[str],
-    known_types: Sequence[str] | None,
-) -> tuple[DataFrame, Column]:
-    """One row per customer and active day, placed by customer, and the aggregate counting distinct types.
-
-    Up to 63 types are marked as bits of one number, so (customer, day) is the only grain that is
-    shuffled.  With more types the rows are collapsed to (customer, day, type) and the first row of
-    each type is marked after they are placed by customer.
-    """
+def _customer_days(activity: DataFrame, event_types: Sequence[str | None], valued_types: Sequence[str]) -> DataFrame:
+    """One row per customer and active day, placed by customer."""
     carried = [column.alias(name) for name, column in _type_columns(event_types, valued_types)]
-    if known_types is None:
-        known_types = [r[0] for r in activity.select("event_type").distinct().limit(MARKED_TYPES + 2).collect()]
-    marked = sorted(t for t in set(known_types) if t is not None)
-    if len(marked) <= MARKED_TYPES:
-        bit = F.lit(0).cast("bigint")
-        for i, name in enumerate(marked):
-            bit = F.when(F.col("event_type") == F.lit(name), F.lit(1 << i).cast("bigint")).otherwise(bit)
-        days = activity.groupBy("customer_id", "event_date").agg(
-            *_combine(), F.bit_or(bit).alias("type_bits"), *carried
-        )
-        return days.repartition("customer_id"), F.bit_count(F.bit_or("type_bits")).cast("bigint")
-
-    first = Window.partitionBy("customer_id", "event_type").orderBy("event_date")
-    new = (F.row_number().over(first) == 1) & F.col("event_type").isNotNull()
-    days = (
-        daily_type_activity(activity)
-        .repartition("customer_id")
-        .withColumn("new_type", F.when(new, 1).otherwise(0).cast("bigint"))
-        .groupBy("customer_id", "event_date")
-        .agg(*_combine(), F.sum("new_type").alias("new_types"), *carried)
-    )
-    return days, F.sum("new_types")
+    return activity.groupBy("customer_id", "event_date").agg(*_combine(), *carried).repartition("customer_id")
 
 
-def rfm_features(
-    activity: DataFrame, window: ObservationWindow, known_types: Sequence[str] | None = None
-) -> DataFrame:
+def distinct_types(activity: DataFrame) -> DataFrame:
+    """``unique_event_types`` per customer, for any number of types; a missing type is none.
+
+    Repeated types collapse before anything moves, and (customer, type) pairs are spread by both, so neither a busy
+    customer nor one with very many types is a hot task.
+    """
+    pairs = activity.select("customer_id", "event_type").distinct()
+    return pairs.groupBy("customer_id").agg(F.count("event_type").alias("unique_event_types"))
+
+
+def rfm_features(activity: DataFrame, window: ObservationWindow) -> DataFrame:
     """Recency, frequency (with distinct types and days) and monetary value per customer."""
-    by_day, distinct_types = _customer_days(activity, (), (), known_types)
-    return by_day.groupBy("customer_id").agg(
+    by_day = _customer_days(activity, (), ())
+    measures = by_day.groupBy("customer_id").agg(
         *recency(window),
         *frequency(window),
-        distinct_types.alias("unique_event_types"),
         F.count(F.lit(1)).alias("active_days"),
         *monetary(value_unit(activity)),
     )
+    return _with_types(measures, activity)
+
+
+def _with_types(measures: DataFrame, activity: DataFrame) -> DataFrame:
+    """Both sides are placed by customer, so the join moves nothing; a null customer is one customer."""
+    types = distinct_types(activity).withColumnRenamed("customer_id", "_customer")
+    joined = measures.join(types, F.col("customer_id").eqNullSafe(F.col("_customer")))
+    return joined.drop("_customer")
 
 
 def customer_rollup(
     activity: DataFrame,
     window: ObservationWindow,
-    event_types: Sequence[str] = EVENT_TYPES,
+    event_types: Sequence[str | None] = EVENT_TYPES,
     valued_types: Sequence[str] = VALUED_TYPES,
-    known_types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All event-based features and the label, one row per active customer, two shuffles."""
+    """All event-based features and the label, one row per active customer."""
     unit = value_unit(activity)
-    by_day, distinct_types = _customer_days(activity, event_types, valued_types, known_types)
+    by_day = _customer_days(activity, event_types, valued_types)
+    suffixes = type_suffixes(event_types)
 
     by_type = []
     for i, name in enumerate(event_types):
-        suffix = type_suffix(name)
+        suffix = suffixes[i]
         count = F.sum(f"_n{i}")
         by_type.append(count.alias(f"count_{suffix}"))
         if name in valued_types:
@@ -370,11 +376,10 @@ def customer_rollup(
 
     x = days_between(F.col("event_date"), F.lit(window.start))
     y = F.col("events")
-    return by_day.groupBy("customer_id").agg(
+    measures = by_day.groupBy("customer_id").agg(
         inactivity_label(window).alias("label"),
         *recency(window),
         *frequency(window),
-        distinct_types.alias("unique_event_types"),
         F.count(F.lit(1)).alias("active_days"),
         *monetary(unit),
         *rolling(window, unit),
@@ -383,6 +388,7 @@ def customer_rollup(
         activity_consistency(y).alias("activity_consistency"),
         *by_type,
     )
+    return _with_types(measures, activity)
 
 
 def compute_features(
@@ -393,16 +399,13 @@ def compute_features(
     valued_types: Sequence[str] = VALUED_TYPES,
     partition_column: str | None = None,
     require_signup: bool = False,
-    known_types: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per customer with activity in the window: profile, label and all features.
 
     ``require_signup`` drops customers without a signup date instead of leaving their age null.
-    ``known_types`` lists every event type that occurs; without it the types are read from the window
-    first, a scan of one column.
     """
     activity = event_activity(events, window, partition_column)
-    rollup = customer_rollup(activity, window, event_types, valued_types, known_types)
+    rollup = customer_rollup(activity, window, event_types, valued_types)
     profiles = customers.select(
         "customer_id",
         F.coalesce("country", F.lit(DEFAULT_TEXT)).alias("country"),
@@ -414,8 +417,7 @@ def compute_features(
         profiles = profiles.filter(F.col("customer_age_days").isNotNull())
 
     typed = []
-    for name in event_types:
-        suffix = type_suffix(name)
+    for name, suffix in zip(event_types, type_suffixes(event_types)):
         typed.append(f"count_{suffix}")
         if name in valued_types:
             typed.append(f"avg_{suffix}_value")

@@ -5,24 +5,23 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.functions.expressions import is_missing, numeric_columns, present_double, safe_ratio
-from ebbtide.session import broadcast_if_small, materialise
+from ebbtide.functions.expressions import is_missing, numeric_columns, present_double, safe_ratio, text_columns
+from ebbtide.session import materialise
 
 # Fixed limits of the checks.
 MAX_MISSING_PCT = 50.0
 EXTREME = 1e10
 MIN_PER_CLASS = 10
 MAX_LABEL_CORRELATION = 0.95
-LEAKAGE_COLUMNS = 20
 MAX_TOP_SHARE = 0.9
 MAX_PAIR_CORRELATION = 0.95
 LISTED_KEYS = 10
+# Pairs of columns summed in one pass.
+PAIRS_AT_ONCE = 200
 
 FINDINGS = T.StructType(
     [
@@ -82,7 +81,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     copies = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_copies"))
     repeated = materialise(copies.filter(F.col("_copies") > 1).select("_hash"))
     groups = (
-        hashed.join(broadcast_if_small(repeated), "_hash", "left_semi")
+        hashed.join(repeated, "_hash", "left_semi")
         .groupBy(*df.columns)
         .agg((F.count(F.lit(1)) - 1).alias("_extra"))
     )
@@ -150,6 +149,10 @@ def label_distribution(df: DataFrame, label_col: str = "label") -> DataFrame:
     )
 
 
+def _finite(x: Column) -> Column:
+    return F.when(F.abs(x) < F.lit(math.inf), x)
+
+
 def correlation(x: Column, y: Column) -> Column:
     """Pearson correlation over rows where both are present; null where it is undefined."""
     a, b = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
@@ -157,8 +160,8 @@ def correlation(x: Column, y: Column) -> Column:
     return F.nanvl(r, F.lit(None).cast("double"))
 
 
-def label_correlations(df: DataFrame, label_col: str = "label", first: int | None = LEAKAGE_COLUMNS) -> DataFrame:
-    """Correlation of numeric columns with the label (the first 20 by default) and the leakage flag."""
+def label_correlations(df: DataFrame, label_col: str = "label", first: int | None = None) -> DataFrame:
+    """Correlation of every numeric column with the label and the leakage flag; ``first`` looks at fewer on request."""
     columns = numeric_columns(df, exclude=("customer_id", label_col))[:first]
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, correlation double, suspect boolean")
@@ -179,29 +182,46 @@ def label_correlations(df: DataFrame, label_col: str = "label", first: int | Non
 def constraint_violations(customers: DataFrame, events: DataFrame) -> DataFrame:
     """Broken rules of the base tables: unique keys, required values, events without a customer."""
 
-    def row(df: DataFrame, table: str, column: str, rule: str, count: Column) -> DataFrame:
-        return df.agg(F.coalesce(count.cast("bigint"), F.lit(0)).alias("violations")).select(
-            F.lit(table).alias("table"), F.lit(column).alias("column"), F.lit(rule).alias("rule"), "violations"
-        )
+    def broken(df: DataFrame, rules: Sequence[tuple[str, str, str, Column]]) -> DataFrame:
+        one = df.agg(*[F.coalesce(count.cast("bigint"), F.lit(0)).alias(f"v{i}") for i, (*_, count) in enumerate(rules)])
+        rows = [
+            F.struct(*[F.lit(x).alias(n) for n, x in zip(("table", "column", "rule"), rule)], F.col(f"v{i}").alias("violations"))
+            for i, (*rule, _) in enumerate(rules)
+        ]
+        return one.select(F.inline(F.array(*rows)))
 
-    def required(df: DataFrame, table: str, names: Sequence[str]) -> DataFrame:
-        one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names])
-        counted = _rows_per_column(one, {c: {"violations": F.col(c)} for c in names})
-        return counted.select(F.lit(table).alias("table"), "column", F.lit("not_null").alias("rule"), "violations")
+    def empty(column: str) -> Column:
+        return F.count_if(F.col(column).isNull())
 
-    extra = F.sum("extra_rows")
-    # Events are counted per customer first, so a busy unknown customer is one row in the join.
-    per_customer = events.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").count()
-    orphans = per_customer.join(customers.select("customer_id"), "customer_id", "left_anti")
-    return (
-        row(duplicate_keys(customers, "customer_id"), "customers", "customer_id", "unique", extra)
-        .unionByName(required(customers, "customers", ("customer_id", "signup_date")))
-        .unionByName(row(duplicate_keys(events, "event_id"), "events", "event_id", "unique", extra))
-        .unionByName(
-            required(events, "events", ("event_id", "customer_id", "event_type", "event_timestamp"))
-        )
-        .unionByName(row(orphans, "events", "customer_id", "references_customers", F.sum("count")))
+    def repeats(column: str) -> Column:
+        return F.sum(F.when(F.col(column).isNotNull(), F.col("n") - 1))
+
+    # Rows collapse to their keys first, so one pass over each table counts everything that a key decides, and a busy
+    # unknown customer is one row in the join.
+    of_customers = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"), empty("signup_date").alias("e"))
+    people = [
+        ("customers", "customer_id", "unique", repeats("customer_id")),
+        ("customers", "customer_id", "not_null", F.sum(F.when(F.col("customer_id").isNull(), F.col("n")))),
+        ("customers", "signup_date", "not_null", F.sum("e")),
+    ]
+    event_ids = events.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = [
+        ("events", "event_id", "unique", repeats("event_id")),
+        ("events", "event_id", "not_null", F.sum(F.when(F.col("event_id").isNull(), F.col("n")))),
+    ]
+    of_events = events.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"), empty("event_type").alias("types"), empty("event_timestamp").alias("stamps")
     )
+    known = customers.select(F.col("customer_id").alias("known")).distinct()
+    matched = of_events.join(known, F.col("customer_id") == F.col("known"), "left")
+    unknown = F.col("customer_id").isNotNull() & F.col("known").isNull()
+    log = [
+        ("events", "customer_id", "not_null", F.sum(F.when(F.col("customer_id").isNull(), F.col("n")))),
+        ("events", "event_type", "not_null", F.sum("types")),
+        ("events", "event_timestamp", "not_null", F.sum("stamps")),
+        ("events", "customer_id", "references_customers", F.sum(F.when(unknown, F.col("n")))),
+    ]
+    return broken(of_customers, people).unionByName(broken(event_ids, ids)).unionByName(broken(matched, log))
 
 
 def orphan_events(customers: DataFrame, events: DataFrame) -> DataFrame:
@@ -211,7 +231,7 @@ def orphan_events(customers: DataFrame, events: DataFrame) -> DataFrame:
     """
     ids = events.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
     unknown = materialise(ids.join(customers.select("customer_id"), "customer_id", "left_anti"))
-    return events.join(broadcast_if_small(unknown), "customer_id", "left_semi")
+    return events.join(unknown, "customer_id", "left_semi")
 
 
 def validation_findings(
@@ -286,7 +306,7 @@ def validation_findings(
     return out
 
 
-def validate_features(df: DataFrame, strict: bool = True, **limits) -> bool:
+def validate_features(df: DataFrame, strict: bool = True, listed_keys: int = LISTED_KEYS, **limits) -> bool:
     """True when no error is found; a strict validation raises with the findings instead of returning False."""
     errors = validation_findings(df, **limits).filter("severity = 'error'").collect()
     if not errors:
@@ -294,7 +314,7 @@ def validate_features(df: DataFrame, strict: bool = True, **limits) -> bool:
     if strict:
         listed = "; ".join(f"{e['check']}({e['column']}) = {e['value']}" for e in errors)
         if any(e["check"] == "duplicate_keys" for e in errors):
-            keys = [str(r[0]) for r in duplicate_keys(df).orderBy("customer_id").limit(LISTED_KEYS).collect()]
+            keys = [str(r[0]) for r in duplicate_keys(df).orderBy("customer_id").limit(listed_keys).collect()]
             listed += f"; repeated ids: {', '.join(keys)}"
         raise ValidationError(listed)
     return False
@@ -326,11 +346,26 @@ def dominant_share(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return _rows_per_column(one, share)
 
 
-def constant_features(df: DataFrame, max_share: float = MAX_TOP_SHARE) -> DataFrame:
-    """Numeric columns where one value (or missing) fills more than the allowed share of rows."""
-    if max_share < 0.6:
-        raise ValueError("a dominant value is only recognised for limits of at least 0.6")
-    return dominant_share(df).filter(F.col("top_share") > max_share)
+def top_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Share of the most frequent value (missing is one) per column of any kind, counted value by value.
+
+    Repeated values collapse before they move; the counts of a column are pre-aggregated again to their largest.
+    """
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+    )
+    counts = df.select(cells.alias("cell")).groupBy("cell.column", "cell.value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("column").agg(safe_ratio(F.max("n"), F.sum("n")).alias("top_share"))
+
+
+def constant_features(df: DataFrame, max_share: float = MAX_TOP_SHARE, exclude: Sequence[str] = ("customer_id",)) -> DataFrame:
+    """Numeric and text columns where one value (or missing) fills more than the allowed share of rows."""
+    text = text_columns(df, exclude)
+    # Below this limit a value may exceed it without being the median.
+    found = dominant_share(df) if max_share >= 0.6 else top_shares(df, numeric_columns(df))
+    if text:
+        found = found.unionByName(top_shares(df, text))
+    return found.filter(F.col("top_share") > max_share)
 
 
 def correlated_features(
@@ -338,21 +373,21 @@ def correlated_features(
 ) -> DataFrame:
     """Pairs of numeric columns above the limit; the later column of a pair is the one to drop.
 
-    Rows with a missing value in one of the columns are left out.  Only the columns x columns matrix
-    reaches the driver.
+    A missing value leaves its row out for the pairs of its column only; infinite values count as missing.  Pairs are
+    summed in blocks of ``PAIRS_AT_ONCE``, each one pass with partial sums, and only columns x columns numbers reach the
+    driver.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    vectors = VectorAssembler(inputCols=columns, outputCol="_x", handleInvalid="skip").transform(
-        df.select(*[present_double(df, c).alias(c) for c in columns])
-    )
-    matrix = Correlation.corr(vectors, "_x").first()[0].toArray()
-    pairs = [
-        (columns[i], columns[j], float(matrix[i, j]))
-        for i in range(len(columns))
-        for j in range(i + 1, len(columns))
-        if abs(matrix[i, j]) > max_correlation
-    ]
-    return df.sparkSession.createDataFrame(pairs, "kept string, dropped string, correlation double")
+    values = df.select(*[_finite(present_double(df, c)).alias(f"c{i}") for i, c in enumerate(columns)])
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
+    if len(pairs) > PAIRS_AT_ONCE:
+        values = materialise(values)
+    found = []
+    for start in range(0, len(pairs), PAIRS_AT_ONCE):
+        block = pairs[start : start + PAIRS_AT_ONCE]
+        row = values.agg(*[correlation(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"r{i}_{j}") for i, j in block]).first()
+        found += [(columns[i], columns[j], r) for (i, j), r in zip(block, row) if r is not None and abs(r) > max_correlation]
+    return df.sparkSession.createDataFrame(found, "kept string, dropped string, correlation double")
 
 
 def select_features(

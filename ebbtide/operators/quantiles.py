@@ -1,9 +1,10 @@
-"""Exact quantiles of several columns in two light passes.
+"""Exact quantiles of several columns in a few light passes.
 
 The first pass brackets every quantile with mergeable sketches.  The second counts
-what lies below the bracket and groups only the values inside it, a small fraction of
-the rows.  A bracket that turns out not to contain the wanted ranks is widened and tried
-again, up to the range of the column, so the result is exact in every case.
+what lies below the bracket.  Then the bracket is cut by sketches of its own values
+until it holds a bounded number of distinct ones, which are read off.  A bracket that
+turns out not to contain the wanted ranks is widened and tried again, up to the range of
+the column, so the result is exact in every case.
 """
 
 from __future__ import annotations
@@ -11,13 +12,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.expressions import present_double
 
 _ACCURACY = 10_000
 _MARGIN = 4.0 / _ACCURACY
+# Distinct values of a bracket that are read off at once, and the parts of a bracket that has more.
+FEW = 20_000
+PARTS = 64
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -60,7 +64,9 @@ def exact_quantiles(
                 pending.append((i, j))
                 continue
             weight = _ranks(sketch[f"n{i}"], probabilities[j])[2]
-            result[columns[i]][j] = below + (above - below) * weight
+            # From an infinite lower neighbour there is no share of the way to the upper one.
+            stays = not weight or math.isinf(below)
+            result[columns[i]][j] = below if stays else below + (above - below) * weight
         margin *= 8
     return result
 
@@ -82,30 +88,82 @@ def _values_at_ranks(values, sketch, probabilities, brackets) -> dict:
     if not open_brackets:
         return found
 
-    inside = [
-        F.when(
-            (F.col(f"_{i}") >= F.lit(low)) & (F.col(f"_{i}") <= F.lit(high)),
-            F.struct(F.lit(k).alias("k"), F.col(f"_{i}").alias("v")),
-        )
-        for k, (i, _, low, high, _, _) in enumerate(open_brackets)
-    ]
-    counts = (
-        values.select(F.explode(F.array_compact(F.array(*inside))).alias("h"))
-        .groupBy(F.col("h.k").alias("k"), F.col("h.v").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # Distinct values of a bracket: well below a thousandth of the rows.
-    upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = counts.select("k", "v", "n", F.sum("n").over(upto).alias("end"))
-    start = F.col("end") - F.col("n")
-    columns = []
-    for name, position in (("a", 4), ("b", 5)):
-        target = F.get(F.lit([bracket[position] for bracket in open_brackets]), F.col("k"))
-        columns.append(F.max(F.when((target >= start) & (target < F.col("end")), F.col("v"))).alias(name))
-    for row in spans.groupBy("k").agg(*columns).collect():
-        found[open_brackets[row["k"]][:2]] = (row["a"], row["b"])
+    found.update(_narrow(values, open_brackets))
     return found
 
 
+def _narrow(values: DataFrame, brackets: list[tuple]) -> dict:
+    """The values at the wanted ranks inside each bracket, read off when few enough distinct values are left.
+
+    ``brackets``: column, probability, bounds, and the two ranks among the values inside.  A bracket with more than
+    ``FEW`` distinct values is split at sketch quantiles of its own values and the part that holds a rank goes on, so no
+    task and no driver ever gets more than ``FEW`` of them however large the data is.
+    """
+    wanted = {}
+    # A piece of work is one rank in one interval: (column, low, high, rank from the interval's beginning).
+    for i, j, low, high, first, second in brackets:
+        wanted[i, j, 0], wanted[i, j, 1] = (i, low, high, first), (i, low, high, second)
+    answers: dict = {}
+    while wanted:
+        places = sorted(set((i, low, high) for i, low, high, _ in wanted.values()))
+        held = [
+            F.when((F.col(f"_{i}") >= F.lit(low)) & (F.col(f"_{i}") <= F.lit(high)), F.col(f"_{i}"))
+            for i, low, high in places
+        ]
+        shares = [k / PARTS for k in range(PARTS + 1)]
+        row = values.agg(
+            *[F.approx_count_distinct(x, 0.05).alias(f"d{k}") for k, x in enumerate(held)],
+            *[F.percentile_approx(x, shares, _ACCURACY).alias(f"q{k}") for k, x in enumerate(held)],
+        ).first()
+        few = {p for k, p in enumerate(places) if row[f"d{k}"] <= FEW // 2 or row[f"q{k}"][0] == row[f"q{k}"][-1]}
+        # Exact counts below each cut tell which part a rank lies in.
+        cuts = {p: sorted(set(row[f"q{k}"]))[1:-1] for k, p in enumerate(places) if p not in few}
+        # All parts are one value wide or the sketch has no cut inside: read them off.
+        few |= {p for p, c in cuts.items() if not c}
+        if few:
+            chosen = sorted(few)
+            cells = F.explode(F.array_compact(F.array(*[
+                F.when(held[places.index(p)].isNotNull(), F.struct(F.lit(n).alias("k"), held[places.index(p)].alias("v")))
+                for n, p in enumerate(chosen)
+            ])))
+            counts = values.select(cells.alias("h")).groupBy("h.k", "h.v").agg(F.count(F.lit(1)).alias("n"))
+            spans: dict = {}
+            for r in sorted(counts.collect(), key=lambda r: (r["k"], r["v"])):
+                spans.setdefault(chosen[r["k"]], []).append((r["v"], r["n"]))
+            for name, (i, low, high, rank) in list(wanted.items()):
+                if (i, low, high) in few:
+                    for value, n in spans[i, low, high]:
+                        if rank < n:
+                            answers[name] = value
+                            break
+                        rank -= n
+                    del wanted[name]
+        rest = [(p, cut) for p, c in cuts.items() if p not in few for cut in c]
+        if rest:
+            row = values.agg(
+                *[F.count_if((F.col(f"_{p[0]}") >= F.lit(p[1])) & (F.col(f"_{p[0]}") < F.lit(cut))).alias(f"b{k}")
+                  for k, (p, cut) in enumerate(rest)],
+                *[F.count_if((F.col(f"_{p[0]}") >= F.lit(p[1])) & (F.col(f"_{p[0]}") <= F.lit(cut))).alias(f"u{k}")
+                  for k, (p, cut) in enumerate(rest)],
+            ).first()
+            counted = {key: (row[f"b{k}"], row[f"u{k}"]) for k, key in enumerate(rest)}
+            for name, (i, low, high, rank) in list(wanted.items()):
+                p = (i, low, high)
+                begin, before = low, 0
+                for cut in cuts[p]:
+                    below, upto = counted[p, cut]
+                    if below <= rank < upto:
+                        answers[name] = cut
+                        del wanted[name]
+                        break
+                    if rank < below:
+                        wanted[name] = (i, begin, cut, rank - before)
+                        break
+                    begin, before = cut, below
+                else:
+                    wanted[name] = (i, begin, high, rank - before)
+    return {(i, j): (answers[i, j, 0], answers[i, j, 1]) for i, j, *_ in brackets}
+
+
 def exact_median(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     return {c: q[0] for c, q in exact_quantiles(df, columns, (0.5,)).items()}

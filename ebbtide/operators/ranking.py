@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.session import broadcast_if_small, materialise
+from ebbtide.session import materialise
 
 # monotonically_increasing_id keeps the position within the partition in its low 33 bits.
 _POSITION_BITS = 33
@@ -38,17 +38,15 @@ def rank_rows(df: DataFrame, order: Sequence[Column], group: Sequence[str] = ())
     sizes = placed.groupBy(*segment).agg(F.count(F.lit(1)).alias("_n"), F.min("_position").alias("_first"))
     # At most one row per partition, plus one per group that starts inside a partition.
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialise(
-        sizes.select(
-            *segment,
-            "_first",
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-            F.sum("_n").over(Window.partitionBy(*group)).alias("group_rows"),
-        )
+    offsets = sizes.select(
+        *segment,
+        "_first",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy(*group)).alias("group_rows"),
     )
     rank = F.col("_position") - F.col("_first") + F.col("_before") + 1
     return (
-        placed.join(broadcast_if_small(offsets), segment)
+        placed.join(offsets, segment)
         .withColumn("rank", rank)
         .drop("_position", "_part", "_first", "_before")
     )
@@ -72,13 +70,11 @@ def running_totals(
     by_part = Window.partitionBy(*group).orderBy("_part")
     before = by_part.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
-    offsets = materialise(
-        totals.select(
-            *segment,
-            *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
-            *[F.sum(f"_sum_{c}").over(whole).alias(f"all_{c}") for c in sums],
-            *[F.lead(f"_first_{c}").over(by_part).alias(f"_after_{c}") for c in following],
-        )
+    offsets = totals.select(
+        *segment,
+        *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
+        *[F.sum(f"_sum_{c}").over(whole).alias(f"all_{c}") for c in sums],
+        *[F.lead(f"_first_{c}").over(by_part).alias(f"_after_{c}") for c in following],
     )
     local = Window.partitionBy(*segment).orderBy("_position")
     running = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -89,7 +85,7 @@ def running_totals(
         *[F.lead(c).over(local).alias(f"_lead_{c}") for c in following],
         last.alias("_last"),
     )
-    joined = summed.join(broadcast_if_small(offsets), segment)
+    joined = summed.join(offsets, segment)
     return joined.select(
         *df.columns,
         *[(F.col(f"_local_{c}") + F.col(f"_before_{c}")).alias(f"cum_{c}") for c in sums],

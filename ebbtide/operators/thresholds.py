@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions import confusion
 from ebbtide.functions.expressions import safe_ratio
+from ebbtide.operators.curves import is_scored
 from ebbtide.operators.ranking import rank_rows
 
 # Error costs, grid size and target shares in percent.
@@ -160,9 +161,9 @@ def top_k_targeting(
     score_col: str = "score",
     id_col: str = "customer_id",
 ) -> DataFrame:
-    """Outcome of targeting the k percent highest scores; ties go to the lower id."""
+    """Outcome of targeting the k percent highest scores; ties go to the lower id, rows without a score are left out."""
     ranked = rank_rows(
-        scored.select(F.col(score_col).alias("_score"), F.col(id_col).alias("_id"), F.col(label_col).alias("_y")),
+        scored.filter(is_scored(score_col)).select(F.col(score_col).alias("_score"), F.col(id_col).alias("_id"), F.col(label_col).alias("_y")),
         [F.desc_nulls_last("_score"), F.asc("_id")],
     )
     size = F.col("group_rows").cast("double")

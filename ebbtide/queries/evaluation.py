@@ -211,13 +211,13 @@ def segment_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 def failure_segments(spark: SparkSession, folder: str) -> DataFrame:
     errors = segments.analyze_errors_by_segment(_segmented(spark, folder))
-    return finish(segments.identify_failure_segments(errors, fnr_threshold=0.6))
+    return finish(segments.identify_failure_segments(errors, fnr_threshold=0.33))
 
 
 def error_report(spark: SparkSession, folder: str) -> DataFrame:
     errors = materialise(segments.analyze_errors_by_segment(_segmented(spark, folder)))
-    failures = segments.identify_failure_segments(errors, fnr_threshold=0.6)
-    return error_report_lines(errors, failures, 0.6).select("section", "line").select(
+    failures = segments.identify_failure_segments(errors, fnr_threshold=0.33)
+    return error_report_lines(errors, failures, 0.33).select("section", "line").select(
         F.col("section").cast("bigint").alias("section"), "line"
     )
 
@@ -448,7 +448,7 @@ CHURN_RATE = share("tp + fn", "tp + tn + fp + fn")
 ERROR_COLUMNS = f"""segment_type, segment_value, tp + tn + fp + fn AS n_samples, tp + fn AS n_churned,
 {rounded(CHURN_RATE, "churn_rate")}, {COUNT_COLUMNS}, {rounded(FNR, "false_negative_rate")},
 {rounded(FPR, "false_positive_rate")}, {rounded(PRECISION, "precision")}, {rounded(RECALL, "recall")}"""
-FAILED = f"{FNR} >= 0.6 AND tp + tn + fp + fn >= 10 AND segment_type <> 'overall'"
+FAILED = f"{FNR} >= 0.33 AND tp + tn + fp + fn >= 10 AND segment_type <> 'overall'"
 
 
 def _pct(expression: str) -> str:
@@ -471,9 +471,7 @@ def _report_sql() -> str:
         (4, "## Failure segments"), (4, ""),
         (4, "| Segment type | Segment | Samples | Churn rate | FNR | FPR |"), (4, "|---|---|---|---|---|---|"),
         (5, ""), (5, "## Method"), (5, ""),
-        (5, "- A failure segment has a false negative rate of at least 60% and at least 10 samples."),
-        (5, "- Worth trying: features for these segments, targeted retention, more data for small ones, "
-            "a threshold of their own."),
+        (5, "- A failure segment has a false negative rate of at least 33% and at least 10 samples."),
     ]
     parts = ["SELECT * FROM (VALUES " + ", ".join(f"({s}, '{t}')" for s, t in fixed) + ") AS v(section, line)"]
     overall = "FROM er WHERE segment_type = 'overall'"

@@ -119,9 +119,25 @@ def event_type_pivot(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_type_pivot_all(spark: SparkSession, folder: str) -> DataFrame:
-    events = activity(spark, folder)
-    types = ft.distinct_event_types(events)
-    return finish(ft.event_type_features(events, W, types, types))
+    return finish(ft.event_type_features(activity(spark, folder), W, ALL_TYPES, ALL_TYPES))
+
+
+def event_type_long(spark: SparkSession, folder: str) -> DataFrame:
+    return finish(ft.event_type_long(_with_odd_types(activity(spark, folder)), W))
+
+
+def _with_odd_types(events: DataFrame) -> DataFrame:
+    """Every seventh customer's types are missing, those of the next are one per customer, far over a hundred in all."""
+    key = F.col("customer_id") % 7
+    kind = F.when(key == 0, F.lit(None)).when(key == 1, F.concat(F.lit("only for "), "customer_id"))
+    return events.withColumn("event_type", F.when(key > 1, F.col("event_type")).otherwise(kind))
+
+
+def odd_event_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct types with missing and very many types, and columns for a missing type."""
+    events = _with_odd_types(activity(spark, folder))
+    rfm = ft.rfm_features(events, W).select("customer_id", "unique_event_types")
+    return finish(rfm.join(ft.event_type_features(events, W, (None, "view"), ()), "customer_id"))
 
 
 def churn_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,6 +179,9 @@ ft AS (
 ACTIVITY_FEATURES_SQL = features_cte(ACTIVITY_LOG_SQL, W, ACTIVITY_TYPES, ("purchase",))
 ORDER_FEATURES_SQL = features_cte(ORDER_LOG_SQL, ORDER_WINDOW, ORDER_TYPES, ("1-URGENT",))
 ALL_TYPES = ("click", "error", "purchase", "signup", "view")
+ODD_TYPES_SQL = f"""{BASE_SQL}, o AS (
+  SELECT *, CASE WHEN customer_id % 7 = 0 THEN NULL WHEN customer_id % 7 = 1 THEN 'only for ' || customer_id
+            ELSE event_type END AS kind FROM w)"""
 
 QUERIES = {
     "rfm_features": rfm_features,
@@ -172,6 +191,8 @@ QUERIES = {
     "activity_trend": activity_trend,
     "event_type_pivot": event_type_pivot,
     "event_type_pivot_all": event_type_pivot_all,
+    "event_type_long": event_type_long,
+    "odd_event_types": odd_event_types,
     "churn_labels": churn_labels,
     "customer_tenure": customer_tenure,
     "feature_table": feature_table,
@@ -189,6 +210,17 @@ SELECT customer_id, CAST(first_day AS VARCHAR) AS first_active_date, {rounded("s
        {rounded("consistency", "activity_consistency")} FROM tr""",
     "event_type_pivot": per_customer_sql(type_columns(W, ACTIVITY_TYPES, ("purchase",))),
     "event_type_pivot_all": per_customer_sql(type_columns(W, ALL_TYPES, ALL_TYPES)),
+    "event_type_long": f"""{ODD_TYPES_SQL}
+SELECT customer_id, kind AS event_type, count(*) AS n_events,
+       {rounded("CAST(sum(v) AS DOUBLE) / count(*)", "avg_value")}, {whole(age(W, "max(d)"), "last_days_ago")}
+FROM o GROUP BY customer_id, kind""",
+    "odd_event_types": f"""{ODD_TYPES_SQL}
+SELECT customer_id, count(DISTINCT kind) AS unique_event_types,
+       count(*) FILTER (WHERE kind IS NULL) AS count_missing_type,
+       {whole(f"coalesce({age(W, 'max(d) FILTER (WHERE kind IS NULL)')}, 999)", "last_missing_type_days_ago")},
+       count(*) FILTER (WHERE kind = 'view') AS count_view,
+       {whole(f"coalesce({age(W, 'max(d) FILTER (WHERE kind = $$view$$)')}, 999)", "last_view_days_ago")}
+FROM o GROUP BY customer_id""",
     "churn_labels": f"""{BASE_SQL}, {CUSTOMERS_SQL}, {labels_sql(W)}
 SELECT customer_id, country, plan_type, CAST(label AS BIGINT) AS label FROM cu JOIN lab USING (customer_id)""",
     "customer_tenure": f"""WITH {CUSTOMERS_SQL}

@@ -36,14 +36,13 @@ LEAKING = ("days_since_last_event", "days_since_first_event", "events_last_30d",
            "events_last_7d", "events_last_14d", "revenue_last_7d", "revenue_last_14d")
 PARAMETERS = DecisionParameters(threshold=0.4, retention_cost=20.0, churn_loss=60.0)
 
-SUMMARY_SCRIPT = """
--- Customers per plan with a first order before the given day.
+SUMMARY_SCRIPT = (
+    """-- Customers per plan with a first order before the given day; a comment with a separator.
 CREATE OR REPLACE TEMPORARY VIEW early_customer_plans AS
-SELECT plan_type, monthly_revenue FROM customer_plans WHERE signup_date < DATE'1996-01-01';
-
-SELECT plan_type, count(*) AS n_customers, CAST(sum(monthly_revenue) AS DOUBLE) AS revenue
-FROM early_customer_plans WHERE monthly_revenue >= :floor GROUP BY plan_type;
-"""
+SELECT plan_type, monthly_revenue FROM customer_plans WHERE signup_date < DATE'1996-01-01' -- and; another""",
+    """SELECT concat(plan_type, ';\n') AS plan_type, count(*) AS n_customers, CAST(sum(monthly_revenue) AS DOUBLE) AS revenue
+FROM early_customer_plans WHERE monthly_revenue >= :floor GROUP BY plan_type""",
+)
 
 
 # --- sources ----------------------------------------------------------------------------------
@@ -62,8 +61,7 @@ def saved_features(spark: SparkSession, folder: str) -> DataFrame:
     """The feature table exported to Parquet by observation date and read back."""
     snapshot = activity_features(spark, folder).withColumn("observation_date", F.lit("2024-01-31"))
     path = export_features(snapshot, scratch_path(spark, "features"), partition_by="observation_date")
-    kept = load_features(spark, path).select("customer_id", "label", "total_events", "activity_slope")
-    return finish(kept)
+    return finish(load_features(spark, path).drop("observation_date"))
 
 
 def saved_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,11 +207,11 @@ SQL = {
     "staged_customers": f"""WITH {CUSTOMERS_SQL}
 SELECT customer_id, country, plan_type, {rounded("monthly_revenue", "monthly_revenue")},
        CAST(signup_date AS VARCHAR) AS signup_date FROM cu""",
-    "saved_features": f"{ACTIVITY_FEATURES_SQL} SELECT customer_id, label, total_events, activity_slope FROM ft",
+    "saved_features": f"{ACTIVITY_FEATURES_SQL} SELECT * FROM ft",
     "saved_table": f"""WITH {CUSTOMERS_SQL}
 SELECT country, count(*) AS n FROM cu WHERE monthly_revenue > 5000 GROUP BY country""",
     "sql_script": f"""WITH {CUSTOMERS_SQL}
-SELECT plan_type, count(*) AS n_customers, {rounded("sum(monthly_revenue)", "revenue")}
+SELECT plan_type || ';' || chr(10) AS plan_type, count(*) AS n_customers, {rounded("sum(monthly_revenue)", "revenue")}
 FROM cu WHERE signup_date < DATE '1996-01-01' AND monthly_revenue >= 1000 GROUP BY plan_type""",
     "batch_scores": DECISIONS_SQL,
     "stream_scores": DECISIONS_SQL,

@@ -22,19 +22,19 @@ from ebbtide.queries.common import (
 from ebbtide.queries.features import ACTIVITY_FEATURES_SQL, ORDER_FEATURES_SQL
 from ebbtide.session import materialise
 
-# Expected columns of a scoring request; most of them are not in the feature table.
-REQUEST_COLUMNS = (
-    "recency_days",
-    "frequency_30d",
-    "frequency_90d",
-    "monetary_30d",
-    "monetary_90d",
-    "events_last_7d",
-    "events_last_30d",
-    "events_last_90d",
-    "customer_tenure_days",
+# What a model might expect: columns of the feature table in another order, and two it does not have.
+EXPECTED_COLUMNS = (
+    "activity_slope",
+    "total_revenue",
+    "seats",
+    "active_days",
+    "events_last_14d",
+    "avg_event_value",
+    "discount",
     "monthly_revenue",
+    "days_since_last_event",
 )
+FOREIGN_COLUMNS = ("seats", "discount")
 EVENT_COLUMNS = {
     "event_id": "bigint",
     "ts": "timestamp_ntz",
@@ -43,7 +43,6 @@ EVENT_COLUMNS = {
     "value": "double",
     "props": "string",
 }
-RANGE_COLUMNS = ("days_since_last_event", "total_events", "total_revenue", "max_event_value", "activity_slope")
 NULLABLE_COLUMNS = ("customer_id", "country", "plan_type", "monthly_revenue", "signup_date")
 # The numeric columns of the activity feature table in order.
 NUMERIC = (
@@ -57,12 +56,21 @@ NUMERIC = (
 
 
 def raw_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return finish(q.profile(table(spark, folder, "events")))
+    return finish(q.profile(_with_gaps(table(spark, folder, "events"))))
+
+
+def _with_gaps(events: DataFrame) -> DataFrame:
+    """A third of the values NaN, a fifth of the types null."""
+    return events.withColumn("value", F.when(F.col("event_id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("value"))).withColumn(
+        "event_type", F.when(F.col("event_id") % 5 != 0, F.col("event_type"))
+    )
 
 
 def duplicate_rows(spark: SparkSession, folder: str) -> DataFrame:
-    conversations = table(spark, folder, "conversations").select("role", "text")
-    return finish(q.duplicate_rows(conversations))
+    """Whole rows of the conversations, a third of them twice and a ninth three times."""
+    rows = table(spark, folder, "conversations")
+    twice, thrice = rows.where("conv_id % 3 = 0"), rows.where("conv_id % 9 = 0")
+    return finish(q.duplicate_rows(rows.unionByName(twice).unionByName(thrice)))
 
 
 def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,11 +78,26 @@ def duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def missing_values(spark: SparkSession, folder: str) -> DataFrame:
-    return finish(q.missing_values(customers(spark, folder).select(*NULLABLE_COLUMNS), 0.01))
+    """Every third country and every fourth revenue is missing."""
+    people = customers(spark, folder).select(*NULLABLE_COLUMNS)
+    people = people.withColumn("country", F.when(F.col("customer_id") % 3 != 0, F.col("country")))
+    people = people.withColumn("monthly_revenue", F.when(F.col("customer_id") % 4 != 0, F.col("monthly_revenue")))
+    return finish(q.missing_values(people, 30.0))
 
 
 def value_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    return finish(q.value_ranges(order_features(spark, folder), RANGE_COLUMNS))
+    """All numeric columns, with infinite, extreme and NaN revenues placed among them."""
+    odd = q.value_ranges(_with_extremes(order_features(spark, folder))).drop("minimum", "maximum")
+    plain = q.value_ranges(order_features(spark, folder)).select("column", "minimum", "maximum")
+    # Deviations near 1e10 agree to fewer decimals than other numbers.
+    return finish(odd.withColumn("std", F.round("std", 2))).join(finish(plain), "column")
+
+
+def _with_extremes(df: DataFrame) -> DataFrame:
+    key, inf = F.col("customer_id"), F.lit(float("inf"))
+    odd = F.when(key % 11 == 0, inf).when(key % 13 == 0, -inf).when(key % 17 == 0, F.lit(float("nan")))
+    odd = odd.when(key % 19 == 0, F.lit(2e10)).when(key % 23 == 0, F.lit(-2e10))
+    return df.withColumn("total_revenue", odd.otherwise(F.col("total_revenue")))
 
 
 def label_check(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,7 +109,16 @@ def leakage_correlation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def constraint_violations(spark: SparkSession, folder: str) -> DataFrame:
-    return finish(q.constraint_violations(customers(spark, folder), activity_log(spark, folder)))
+    """Broken keys, missing values and unknown customers, placed by number."""
+    people, log = customers(spark, folder), activity_log(spark, folder)
+    people = people.unionByName(people.where("customer_id % 10 = 0"))
+    people = people.unionByName(people.where("customer_id % 25 = 1").withColumn("customer_id", F.lit(None).cast("bigint")))
+    key = F.col("event_id")
+    log = log.withColumn("event_type", F.when(key % 9 != 0, F.col("event_type"))).withColumn(
+        "customer_id", F.when(key % 50 == 0, F.col("customer_id") + 10_000_000).when(key % 50 != 1, F.col("customer_id"))
+    )
+    log = log.withColumn("event_id", F.when(key % 40 == 0, F.col("event_id") + 1).when(key % 40 != 2, F.col("event_id")))
+    return finish(q.constraint_violations(people, log))
 
 
 def orphan_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,12 +137,15 @@ def constant_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def correlated_features(spark: SparkSession, folder: str) -> DataFrame:
-    return finish(q.correlated_features(activity_features(spark, folder)))
+    """With one column missing for two thirds of the rows and another always."""
+    features = activity_features(spark, folder)
+    features = features.withColumn("total_revenue", F.when(F.col("customer_id") % 3 == 0, F.col("total_revenue")))
+    return finish(q.correlated_features(features.withColumn("last_click_days_ago", F.lit(None).cast("double"))))
 
 
 def align_schema(spark: SparkSession, folder: str) -> DataFrame:
     features = order_features(spark, folder)
-    return finish(align_columns(features, ["customer_id", *REQUEST_COLUMNS]))
+    return finish(align_columns(features, ["customer_id", *EXPECTED_COLUMNS]))
 
 
 QUERIES = {
@@ -138,7 +173,7 @@ def _profile_part(column: str, data_type: str) -> str:
     return (
         f"SELECT '{column}' AS \"column\", '{data_type}' AS data_type, count(*) AS n_rows, "
         f"count(*) - count({column}) AS n_missing, "
-        f"{rounded(f'(count(*) - count({column})) * 100.0 / count(*)', 'missing_pct')} FROM events"
+        f"{rounded(f'(count(*) - count({column})) * 100.0 / count(*)', 'missing_pct')} FROM gaps"
     )
 
 
@@ -146,16 +181,18 @@ def _missing_part(column: str) -> str:
     pct = f"CAST((count(*) - count({column})) * 100 AS DOUBLE) / count(*)"
     return (
         f"SELECT '{column}' AS \"column\", count(*) - count({column}) AS n_missing, "
-        f"{rounded(pct, 'missing_pct')}, {pct} > 0.01 AS failed FROM cu"
+        f"{rounded(pct, 'missing_pct')}, {pct} > 30.0 AS failed FROM gaps"
     )
 
 
 def _range_part(c: str) -> str:
     return (
-        f"SELECT '{c}' AS \"column\", CAST(0 AS BIGINT) AS n_infinite, "
-        f"count(*) FILTER (WHERE {c} > 1e10) AS n_high, count(*) FILTER (WHERE {c} < -1e10) AS n_low, "
-        f"{rounded(f'min({c})', 'minimum')}, {rounded(f'max({c})', 'maximum')}, {rounded(f'avg({c})', 'mean')}, "
-        f"{rounded(f'stddev_samp({c})', 'std')} FROM ft"
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE isinf(CAST(x.{c} AS DOUBLE))) AS n_infinite, "
+        f"count(*) FILTER (WHERE x.{c} > 1e10) AS n_high, count(*) FILTER (WHERE x.{c} < -1e10) AS n_low, "
+        f"{rounded(f'min(ft.{c})', 'minimum')}, {rounded(f'max(ft.{c})', 'maximum')}, "
+        f"{rounded(f'avg(x.{c}) FILTER (WHERE isfinite(CAST(x.{c} AS DOUBLE)))', 'mean')}, "
+        f"round(CAST(stddev_samp(x.{c}) FILTER (WHERE isfinite(CAST(x.{c} AS DOUBLE))) AS DOUBLE), 2) AS std "
+        "FROM ft JOIN x USING (customer_id)"
     )
 
 
@@ -203,29 +240,47 @@ def _violation(table_name: str, column: str, rule: str, count: str, source: str)
 
 
 SQL = {
-    "raw_profile": _union([_profile_part(c, t) for c, t in EVENT_COLUMNS.items()]),
-    "duplicate_rows": f"""SELECT count(*) AS n_rows, count(*) - count(DISTINCT (role, text)) AS duplicate_rows,
-{rounded("CAST((count(*) - count(DISTINCT (role, text))) * 100 AS DOUBLE) / count(*)", "duplicate_pct")}
-FROM conversations""",
+    "raw_profile": """WITH gaps AS (
+  SELECT * REPLACE (CASE WHEN event_id % 3 <> 0 THEN value END AS value,
+                    CASE WHEN event_id % 5 <> 0 THEN event_type END AS event_type) FROM events) """
+    + _union([_profile_part(c, t) for c, t in EVENT_COLUMNS.items()]),
+    "duplicate_rows": f"""WITH c AS (
+  SELECT * FROM conversations UNION ALL SELECT * FROM conversations WHERE conv_id % 3 = 0
+  UNION ALL SELECT * FROM conversations WHERE conv_id % 9 = 0)
+SELECT count(*) AS n_rows, count(*) - count(DISTINCT (conv_id, turn, role, text)) AS duplicate_rows,
+{rounded("CAST((count(*) - count(DISTINCT (conv_id, turn, role, text))) * 100 AS DOUBLE) / count(*)", "duplicate_pct")}
+FROM c""",
     "duplicate_keys": """SELECT o_custkey AS customer_id, count(*) - 1 AS extra_rows
 FROM orders GROUP BY o_custkey HAVING count(*) > 1""",
-    "missing_values": f"WITH {CUSTOMERS_SQL} {_union([_missing_part(c) for c in NULLABLE_COLUMNS])}",
-    "value_ranges": f"{ORDER_FEATURES_SQL} {_union([_range_part(c) for c in RANGE_COLUMNS])}",
+    "missing_values": f"WITH {CUSTOMERS_SQL}, gaps AS (SELECT * REPLACE ("
+    "CASE WHEN customer_id % 3 <> 0 THEN country END AS country, "
+    f"CASE WHEN customer_id % 4 <> 0 THEN monthly_revenue END AS monthly_revenue) FROM cu) {_union([_missing_part(c) for c in NULLABLE_COLUMNS])}",
+    "value_ranges": f"""{ORDER_FEATURES_SQL}, x AS (SELECT * REPLACE (
+  CASE WHEN customer_id % 11 = 0 THEN CAST('infinity' AS DOUBLE) WHEN customer_id % 13 = 0 THEN CAST('-infinity' AS DOUBLE)
+       WHEN customer_id % 17 = 0 THEN NULL WHEN customer_id % 19 = 0 THEN 2e10 WHEN customer_id % 23 = 0 THEN -2e10
+       ELSE total_revenue END AS total_revenue) FROM ft) {_union([_range_part(c) for c in _order_numeric()])}""",
     "label_check": f"""{ORDER_FEATURES_SQL}
 SELECT label, count(*) AS n_rows, {rounded("count(*) * 100.0 / sum(count(*)) OVER ()", "share_pct")},
        label IN (0, 1) AS valid FROM ft GROUP BY label""",
-    "leakage_correlation": f"{ORDER_FEATURES_SQL} {_union([_leak_part(c) for c in _order_numeric()[:20]])}",
-    "constraint_violations": f"WITH {ACTIVITY_LOG_SQL}, {CUSTOMERS_SQL} "
+    "leakage_correlation": f"{ORDER_FEATURES_SQL} {_union([_leak_part(c) for c in _order_numeric()])}",
+    "constraint_violations": f"""WITH {ACTIVITY_LOG_SQL}, {CUSTOMERS_SQL},
+c2 AS (SELECT * FROM cu UNION ALL SELECT * FROM cu WHERE customer_id % 10 = 0),
+cx AS (SELECT * FROM c2 UNION ALL SELECT * REPLACE (NULL AS customer_id) FROM c2 WHERE customer_id % 25 = 1),
+ex AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 9 <> 0 THEN event_type END AS event_type,
+    CASE WHEN event_id % 50 = 0 THEN customer_id + 10000000 WHEN event_id % 50 <> 1 THEN customer_id END AS customer_id,
+    CASE WHEN event_id % 40 = 0 THEN event_id + 1 WHEN event_id % 40 <> 2 THEN event_id END AS event_id) FROM ev) """
     + _union(
         [
-            _violation("customers", "customer_id", "unique", "count(customer_id) - count(DISTINCT customer_id)", "cu"),
+            _violation("customers", "customer_id", "unique", "count(customer_id) - count(DISTINCT customer_id)", "cx"),
             *[
-                _violation("customers", c, "not_null", f"count(*) - count({c})", "cu")
+                _violation("customers", c, "not_null", f"count(*) - count({c})", "cx")
                 for c in ("customer_id", "signup_date")
             ],
-            _violation("events", "event_id", "unique", "count(event_id) - count(DISTINCT event_id)", "ev"),
+            _violation("events", "event_id", "unique", "count(event_id) - count(DISTINCT event_id)", "ex"),
             *[
-                _violation("events", c, "not_null", f"count(*) - count({c})", "ev")
+                _violation("events", c, "not_null", f"count(*) - count({c})", "ex")
                 for c in ("event_id", "customer_id", "event_type", "event_timestamp")
             ],
             _violation(
@@ -233,7 +288,7 @@ SELECT label, count(*) AS n_rows, {rounded("count(*) * 100.0 / sum(count(*)) OVE
                 "customer_id",
                 "references_customers",
                 "count(*)",
-                "ev WHERE customer_id NOT IN (SELECT customer_id FROM cu)",
+                "ex WHERE customer_id NOT IN (SELECT customer_id FROM cu)",
             ),
         ]
     ),
@@ -241,15 +296,18 @@ SELECT label, count(*) AS n_rows, {rounded("count(*) * 100.0 / sum(count(*)) OVE
 WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = o_custkey)""",
     "validation_findings": f"""{ORDER_FEATURES_SQL},
 lc AS (SELECT count(*) FILTER (WHERE label = 0) AS c0, count(*) FILTER (WHERE label = 1) AS c1 FROM ft),
-lk AS ({_union([_leak_part(c) for c in _order_numeric()[:20]])})
+lk AS ({_union([_leak_part(c) for c in _order_numeric()])})
 SELECT 'small_class' AS "check", 'label' AS "column", CAST(least(c0, c1) AS DOUBLE) AS value, 'error' AS severity
 FROM lc WHERE least(c0, c1) BETWEEN 1 AND 999
 UNION ALL SELECT 'label_correlation', "column", correlation, 'warning' FROM lk WHERE suspect""",
     "constant_features": f"""{ORDER_FEATURES_SQL}, sh AS ({_union([_share_part(c) for c in _order_numeric()])})
 SELECT "column", {rounded("share", "top_share")} FROM sh WHERE share > 0.9""",
-    "correlated_features": f"""{ACTIVITY_FEATURES_SQL}, pr AS ({_union(_pair_parts())})
+    "correlated_features": f"""{ACTIVITY_FEATURES_SQL.replace("ft AS (", "ft0 AS (")}, ft AS (
+  SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN total_revenue END AS total_revenue,
+                    CAST(NULL AS DOUBLE) AS last_click_days_ago) FROM ft0),
+pr AS ({_union(_pair_parts())})
 SELECT kept, dropped, {rounded("r", "correlation")} FROM pr WHERE abs(r) > 0.95""",
     "align_schema": f"""{ORDER_FEATURES_SQL}
-SELECT customer_id, {', '.join(c if c in ('events_last_7d', 'events_last_30d', 'monthly_revenue')
-                               else f'CAST(0 AS DOUBLE) AS {c}' for c in REQUEST_COLUMNS)} FROM ft""",
+SELECT customer_id, {', '.join(f'CAST(0 AS DOUBLE) AS {c}' if c in FOREIGN_COLUMNS else c
+                               for c in EXPECTED_COLUMNS)} FROM ft""",
 }

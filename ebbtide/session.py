@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# An explicit broadcast is only hinted for a relation counted below this many rows.
-BROADCAST_ROWS = 100_000
 
 
 def build_session(
@@ -64,10 +60,3 @@ def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that row positions stay fixed when an executor is lost."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; larger relations keep an ordinary join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

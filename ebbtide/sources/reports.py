@@ -188,8 +188,6 @@ def error_report_lines(
             "",
             f"- A failure segment has a false negative rate of at least {fnr_threshold:.0%} "
             f"and at least {min_samples} samples.",
-            "- Worth trying: features for these segments, targeted retention, more data for small ones, "
-            "a threshold of their own.",
         ]),
     ]
     out = parts[0]
@@ -201,6 +199,6 @@ def error_report_lines(
 def generate_error_report(errors: DataFrame, failures: DataFrame, path: str, **limits) -> str:
     """Write the report as one Markdown text file: a few dozen lines, sorted."""
     lines = error_report_lines(errors, failures, **limits)
-    ordered = lines.orderBy("section", "part", "position", "line").select("line")
-    ordered.coalesce(1).write.mode("overwrite").text(path)
+    ordered = lines.repartition(1).sortWithinPartitions("section", "part", "position", "line").select("line")
+    ordered.write.mode("overwrite").text(path)
     return path

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,38 +26,41 @@ def register_views(frames: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(name)
 
 
-def statements(script: str) -> list[str]:
-    """The statements of a script: comment lines go, ``;`` at the end of a line separates."""
-    kept = "\n".join(line for line in script.splitlines() if not line.strip().startswith("--"))
-    return [part.strip() for part in kept.replace("\r", "").split(";\n") if part.strip(" ;\n")]
-
-
 def run_sql(
-    spark: SparkSession, script: str, args: Mapping[str, Any] | None = None, output_path: str | None = None
+    spark: SparkSession,
+    statements: str | Sequence[str],
+    args: Mapping[str, Any] | None = None,
+    output_path: str | None = None,
 ) -> DataFrame | None:
-    """Run every statement of a script with named parameters; the last result is returned and may be saved."""
+    """Run the statements in turn with named parameters; the last result is returned and may be saved.
+
+    One text is one statement, of which Spark's parser understands every comment and literal.  Each statement gets the
+    parameters whose names occur in it.
+    """
     result = None
-    for statement in statements(script):
-        text = statement.rstrip(";")
-        used = {k: v for k, v in (args or {}).items() if f":{k}" in text}
-        result = spark.sql(text, args=used or None)
+    for statement in [statements] if isinstance(statements, str) else statements:
+        used = {k: v for k, v in (args or {}).items() if f":{k}" in statement}
+        result = spark.sql(statement, args=used or None)
     if output_path is not None and result is not None:
         export_features(result, output_path)
     return result
 
 
 def run_sql_file(
-    spark: SparkSession, path: str, args: Mapping[str, Any] | None = None, output_path: str | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    args: Mapping[str, Any] | None = None,
+    output_path: str | None = None,
 ) -> DataFrame | None:
-    """As ``run_sql`` for a script kept in a file that Spark can read."""
-    text = spark.read.option("wholetext", "true").text(path).first()[0]
-    return run_sql(spark, text, args, output_path)
+    """As ``run_sql`` for files that Spark can read, one statement in each, in the order given."""
+    reader = spark.read.option("wholetext", "true")
+    texts = [reader.text(p).first()[0] for p in ([paths] if isinstance(paths, str) else paths)]
+    return run_sql(spark, texts, args, output_path)
 
 
-def execute_query(spark: SparkSession, query: str, return_df: bool = True, **args) -> DataFrame | list:
-    """The result as a DataFrame, or its rows when the caller knows that they are few."""
-    df = spark.sql(query, args=args or None)
-    return df if return_df else df.collect()
+def execute_query(spark: SparkSession, query: str, **args) -> DataFrame:
+    """The result of one query with named parameters."""
+    return spark.sql(query, args=args or None)
 
 
 def save_table(df: DataFrame, name: str = "features", path: str | None = None) -> DataFrame:

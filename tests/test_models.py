@@ -196,3 +196,19 @@ def test_run_from_raw_csv_files(spark, tmp_path):
     assert result.features.agg({"label": "sum"}).first()[0] == 40
     profile = spark.read.json(str(tmp_path / "out/reports/events_profile"))
     assert profile.filter("column = 'metadata'").first()["missing_pct"] == 100.0
+
+
+def test_settings_that_cannot_be_met_are_refused():
+    with pytest.raises(ValueError, match="n_estimator"):
+        training.create_classifier("random_forest", {"n_estimator": 5})
+    with pytest.raises(ValueError, match="min_samples_split"):
+        training.create_classifier("random_forest", {"min_samples_split": 10})
+    with pytest.raises(ValueError, match="30"):
+        training.create_classifier("random_forest", {"max_depth": 64})
+    assert training.create_classifier("random_forest", {"max_depth": None}).getMaxDepth() == 30
+
+
+def test_imputing_with_an_infinite_median(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("inf"),), (None,), (1.0,)], "a double")
+    fitted = prep.MedianImputer(inputCols=["a"], outputCols=["b"]).fit(df)
+    assert sorted(r["b"] for r in fitted.transform(df).collect()) == [1.0] + [float("inf")] * 3

@@ -113,5 +113,44 @@ def test_feature_selection(spark):
     pairs = {(r["kept"], r["dropped"]) for r in q.correlated_features(df, columns=["x", "twice", "wave"]).collect()}
     assert pairs == {("x", "twice")}
     assert q.select_features(df) == ["at_limit", "x", "wave"]
-    with pytest.raises(ValueError):
-        q.constant_features(df, 0.5)
+    # Below 0.6 values are counted one by one, with the same result.
+    assert {r["column"]: r["top_share"] for r in q.constant_features(df, 0.55).collect()} == {
+        "mostly": 0.91, "at_limit": 0.9, "empty": 0.95
+    }
+
+
+def test_text_columns_are_near_constant_too(spark):
+    df = spark.range(100).select(
+        F.col("id").alias("customer_id"),
+        F.when(F.col("id") < 95, "free").otherwise("paid").alias("plan"),
+        F.when(F.col("id") < 50, "a").otherwise("b").alias("region"),
+    )
+    assert [tuple(r) for r in q.constant_features(df).collect()] == [("plan", 0.95)]
+
+
+def test_missing_values_leave_out_their_own_pairs_only(spark):
+    x = F.col("id").cast("double")
+    df = spark.range(200).select(
+        x.alias("x"),
+        F.when(F.col("id") % 2 == 0, x * 3).alias("half"),
+        F.when(F.col("id") == 7, float("inf")).when(F.col("id") == 8, float("nan")).otherwise(-x).alias("odd"),
+        F.lit(None).cast("double").alias("none"),
+        F.when(F.col("id") == 3, 1.0).alias("single"),
+        F.lit(4.0).alias("same"),
+    )
+    found = {(r["kept"], r["dropped"]): r["correlation"] for r in q.correlated_features(df).collect()}
+    assert found == {("x", "half"): pytest.approx(1), ("x", "odd"): pytest.approx(-1), ("half", "odd"): pytest.approx(-1)}
+
+
+def test_every_column_is_checked_for_leakage(spark):
+    columns = [(F.col("id") * (i + 2) % 17).alias(f"c{i:02d}") for i in range(40)]
+    df = spark.range(100).select((F.col("id") % 2).cast("int").alias("label"), *columns, (F.col("id") % 2).alias("leak"))
+    assert [r["column"] for r in q.label_correlations(df).where("suspect").collect()] == ["leak"]
+    assert q.label_correlations(df, first=5).count() == 5
+
+
+def test_constraints_read_each_table_a_bounded_number_of_times(spark, tmp_path):
+    make_customers(spark, ["a"]).write.parquet(str(tmp_path / "c"))
+    make_events(spark, [("a", "login", at(1), 1)]).write.parquet(str(tmp_path / "e"))
+    found = q.constraint_violations(spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "e")))
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 4

@@ -90,3 +90,22 @@ def test_small_sizes_are_exact(spark):
         values = [float((i * 7) % n) for i in range(n)]
         df = spark.createDataFrame([(v,) for v in values], "a double")
         assert np.allclose(exact_quantiles(df, ["a"], (0.25, 0.5, 0.75))["a"], np.quantile(values, (0.25, 0.5, 0.75)))
+
+
+def test_infinite_neighbours(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(-inf, inf), (-inf, inf), (1.0, inf), (inf, inf)], "a double, b double")
+    assert exact_quantiles(df, ["a", "b"], (0.25, 0.5)) == {"a": [-inf, -inf], "b": [inf, inf]}
+
+
+def test_brackets_are_cut_until_few_values_are_left(spark, monkeypatch):
+    from ebbtide.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "FEW", 40)
+    monkeypatch.setattr(quantiles, "PARTS", 4)
+    monkeypatch.setattr(quantiles, "_MARGIN", 0.2)
+    rng = np.random.default_rng(7)
+    values = np.r_[rng.normal(size=3000), np.full(700, 0.125), rng.integers(0, 9, 500)]
+    df = spark.createDataFrame([(float(v),) for v in values], "a double").repartition(5)
+    wanted = (0.1, 0.5, 0.77, 0.99)
+    assert np.allclose(quantiles.exact_quantiles(df, ["a"], wanted)["a"], np.quantile(values, wanted), rtol=1e-12)
