@@ -399,10 +399,12 @@ def compute_features(
     valued_types: Sequence[str] = VALUED_TYPES,
     partition_column: str | None = None,
     require_signup: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per customer with activity in the window: profile, label and all features.
 
     ``require_signup`` drops customers without a signup date instead of leaving their age null.
+    ``carry`` names columns of ``customers`` to add at the end, such as the date to split by.
     """
     activity = event_activity(events, window, partition_column)
     rollup = customer_rollup(activity, window, event_types, valued_types)
@@ -412,6 +414,7 @@ def compute_features(
         F.coalesce("plan_type", F.lit(DEFAULT_TEXT)).alias("plan_type"),
         window.days_since(F.col("signup_date")).alias("customer_age_days"),
         F.coalesce(F.col("monthly_revenue").cast("double"), F.lit(0.0)).alias("monthly_revenue"),
+        *carry,
     )
     if require_signup:
         profiles = profiles.filter(F.col("customer_age_days").isNotNull())
@@ -447,4 +450,5 @@ def compute_features(
         "peak_hour_activity",
         "activity_consistency",
         *typed,
+        *carry,
     )

@@ -10,8 +10,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators.business import BusinessScenario, best_under_budget, business_report, evaluate_counts
-from ebbtide.operators.evaluation import compare_models
+from ebbtide.operators.business import BusinessScenario, best_under_budget, business_report, compare_strategies, evaluate_counts
+from ebbtide.operators.curves import pr_curve, roc_curve
+from ebbtide.operators.evaluation import compare_models, evaluate, model_report
 from ebbtide.operators.features import EVENT_TYPES, VALUED_TYPES, ObservationWindow, compute_features
 from ebbtide.operators.quality import validate_features
 from ebbtide.operators.scoring import add_scores
@@ -34,7 +35,7 @@ from ebbtide.operators.thresholds import (
 from ebbtide.plans.training import SEED, TrainedModel, train_model
 from ebbtide.plans.tuning import TuningResult, tune_model
 from ebbtide.session import materialise
-from ebbtide.sources.models import save_model
+from ebbtide.sources.models import load_model, save_model
 from ebbtide.sources.raw import export_features, ingest, load_features
 from ebbtide.sources.reports import generate_error_report, load_metrics, save_csv, save_json
 from ebbtide.sources.tables import BASE_TABLES
@@ -48,21 +49,29 @@ def make_features(
     event_types: Sequence[str] = EVENT_TYPES,
     valued_types: Sequence[str] = VALUED_TYPES,
     strict: bool = False,
+    carry: Sequence[str] = (),
 ) -> tuple[DataFrame, bool]:
-    """Compute, write, read back and check the feature table."""
-    export_features(compute_features(customers, events, window, event_types, valued_types), path)
+    """Compute, write, read back and check the feature table; ``carry`` adds columns of the customers."""
+    export_features(compute_features(customers, events, window, event_types, valued_types, carry=carry), path)
     features = load_features(customers.sparkSession, path)
     return features, validate_features(features, strict=strict)
 
 
 def train_and_report(features: DataFrame, model_type: str, folder: str, **options: Any) -> TrainedModel:
-    """Train, save the model below ``folder`` and write its metrics report."""
+    """Train, save the model below ``folder`` and write its metrics report with the curves of all splits."""
     trained = train_model(features, model_type, **options)
     save_model(trained.model, f"{folder}/models/{model_type}")
     save_json(trained.report(), f"{folder}/reports/{model_type}_metrics")
+    save_curves(trained.scored, f"{folder}/reports/{model_type}")
     return trained
 
 
+def save_curves(scored: DataFrame, prefix: str) -> None:
+    """ROC and precision-recall points as Parquet tables, partitioned by split; a curve may have very many points."""
+    for name, curve in (("roc_curve", roc_curve), ("pr_curve", pr_curve)):
+        curve(scored, group=("split",)).write.mode("overwrite").partitionBy("split").parquet(f"{prefix}_{name}")
+
+
 def tune_and_report(features: DataFrame, model_type: str, folder: str, **options: Any) -> TuningResult:
     tuned = tune_model(features, model_type, **options)
     save_model(tuned.best_model, f"{folder}/models/{model_type}_tuned")
@@ -124,6 +133,7 @@ def business_evaluation(
     report = business_report(best, baseline)
     if path:
         save_json(report, path)
+        save_csv(compare_strategies(best, baseline), f"{path}_strategies")
     return report
 
 
@@ -173,10 +183,19 @@ def full_run(
     split: str = "test",
     exclude: Sequence[str] = (),
     seed: int = SEED,
+    date_col: str | None = None,
 ) -> RunResult:
-    """Features, checks, training and the four evaluations; rows are scored once."""
-    features, valid = make_features(customers, events, window, f"{folder}/features", event_types, valued_types)
-    trained = train_and_report(features, model_type, folder, params=params, exclude=exclude, seed=seed)
+    """Features, checks, training and the four evaluations; rows are scored once.
+
+    ``date_col``: a date of the customers to split by in time; without it rows are split in the order of their ids.
+    """
+    carry = [date_col] if date_col else []
+    features, valid = make_features(
+        customers, events, window, f"{folder}/features", event_types, valued_types, carry=carry
+    )
+    trained = train_and_report(
+        features, model_type, folder, params=params, exclude=exclude, seed=seed, date_col=date_col
+    )
     scored = select_split(trained.scored, split)
     reports = f"{folder}/reports"
     thresholds = threshold_analysis(scored, f"{reports}/threshold_analysis", cost_fp, cost_fn)
@@ -185,6 +204,37 @@ def full_run(
     return RunResult(features, valid, trained, thresholds, business, errors, failures)
 
 
+def evaluate_saved_model(
+    spark: SparkSession,
+    model_path: str,
+    features_path: str,
+    folder: str,
+    name: str = "model",
+    split: str = "test",
+    date_col: str | None = None,
+    scenarios: Sequence[BusinessScenario] = (BusinessScenario(),),
+    cost_fp: float = COST_FP,
+    cost_fn: float = COST_FN,
+    fnr_threshold: float = FNR_LIMIT,
+    threshold: float | None = 0.5,
+) -> DataFrame:
+    """Metrics, curves, thresholds, business and error reports of a saved model on saved features, below ``folder``.
+
+    Metrics and curves cover all splits, the other reports the chosen one.  Returns the metrics by split.
+    """
+    features = load_features(spark, features_path)
+    scored = materialise(add_scores(load_model(model_path), temporal_split(features, date_col=date_col)))
+    metrics = materialise(evaluate(scored))
+    reports = f"{folder}/reports"
+    save_json(model_report(metrics, name), f"{reports}/{name}_metrics")
+    save_curves(scored, f"{reports}/{name}")
+    chosen = select_split(scored, split)
+    threshold_analysis(chosen, f"{reports}/threshold_analysis", cost_fp, cost_fn)
+    business_evaluation(chosen, scenarios, f"{reports}/business_evaluation")
+    error_analysis(chosen, reports, fnr_threshold, threshold)
+    return metrics
+
+
 def run_from_raw(
     spark: SparkSession,
     customers_path: str,

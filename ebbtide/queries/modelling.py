@@ -1,18 +1,24 @@
-"""Source, model and streaming queries.  Fitted models have no SQL; a rule model stands in where one is needed."""
+"""Source, model and streaming queries.
+
+SQL cannot fit models; it knows the rows they see and what has to hold of them.  A rule model stands in for scoring.
+"""
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.operators.scoring import DecisionParameters, score_customers
+from ebbtide.operators.splits import select_split
 from ebbtide.plans import jobs, training, tuning
 from ebbtide.queries.common import (
     CUSTOMERS_SQL,
     ORDER_TYPES,
     ORDER_WINDOW,
+    SCORED_SQL,
     SCORE_SQL,
     activity_features,
     customers,
@@ -25,7 +31,7 @@ from ebbtide.queries.features import ACTIVITY_FEATURES_SQL, ORDER_FEATURES_SQL
 from ebbtide.session import materialise, scratch_path
 from ebbtide.sources.models import load_model, save_model
 from ebbtide.sources.raw import export_features, ingest, load_features
-from ebbtide.sources.reports import load_decision_parameters, save_csv, save_json
+from ebbtide.sources.reports import load_decision_parameters, load_metrics, save_csv, save_json
 from ebbtide.sources.tables import execute_query, register_views, run_sql, save_table
 from ebbtide.streaming.scoring import read_feature_stream, start_scoring
 
@@ -36,6 +42,10 @@ LEAKING = ("days_since_last_event", "days_since_first_event", "events_last_30d",
            "events_last_7d", "events_last_14d", "revenue_last_7d", "revenue_last_14d")
 PARAMETERS = DecisionParameters(threshold=0.4, retention_cost=20.0, churn_loss=60.0)
 
+# A small search: the defaults are 30 settings of the full space and 5 folds.
+SEARCHED = 3
+GRID = {"n_estimators": [5, 10], "max_depth": [3, 5], "min_samples_leaf": [1, 4]}
+
 SUMMARY_SCRIPT = (
     """-- Customers per plan with a first order before the given day; a comment with a separator.
 CREATE OR REPLACE TEMPORARY VIEW early_customer_plans AS
@@ -132,49 +142,129 @@ def _trained(spark: SparkSession, folder: str, model_type: str, params=None) ->
     )
 
 
+def _outcome(trained: training.TrainedModel) -> DataFrame:
+    """What SQL knows about a trained model: rows and classes of each split, and statements that have to hold."""
+    score = F.col("score")
+    ranges = trained.scored.groupBy("split").agg(
+        F.count(score).alias("n_scored"), (F.min(score) >= 0).alias("from_0"), (F.max(score) <= 1).alias("to_1")
+    )
+    better = (F.col("split") != "train") | (F.col("roc_auc") > 0.6)
+    return finish(
+        trained.metrics.join(ranges, "split").select(
+            "split", "total", "class_0", "class_1", "n_scored", "from_0", "to_1", better.alias("better_than_chance")
+        )
+    )
+
+
+def _gradient_vanishes(trained: training.TrainedModel) -> bool:
+    """Whether the penalised weighted log-loss is flat at the fitted coefficients."""
+    train = select_split(trained.scored, "train").drop("score", "prediction")
+    weighted, total = training.weigh_classes(train, "logistic_regression")
+    classifier = trained.model.stages[-1]
+    shaped = weighted
+    for stage in trained.model.stages[:-1]:
+        shaped = stage.transform(shaped)
+    scored = classifier.transform(shaped)
+    error = F.col("weight") * (vector_to_array("probability")[1] - F.col("label"))
+    x = vector_to_array("features")
+    sums = scored.agg(F.sum(error), *[F.sum(error * x[i]) for i in range(classifier.numFeatures)]).first()
+    penalty = classifier.getRegParam()
+    slopes = [s / total + penalty * c for s, c in zip(sums[1:], classifier.coefficients)]
+    return max(map(abs, [sums[0] / total, *slopes])) < 1e-3
+
+
 def train_logistic_regression(spark: SparkSession, folder: str) -> DataFrame:
-    return _trained(spark, folder, "logistic_regression").metrics
+    trained = _trained(spark, folder, "logistic_regression")
+    return _outcome(trained).withColumn("gradient_vanishes", F.lit(_gradient_vanishes(trained)))
 
 
 def train_random_forest(spark: SparkSession, folder: str) -> DataFrame:
-    return _trained(spark, folder, "random_forest", {"n_estimators": 20, "max_depth": 8}).metrics
+    return _outcome(_trained(spark, folder, "random_forest"))
 
 
 def train_boosting(spark: SparkSession, folder: str) -> DataFrame:
-    return _trained(spark, folder, "xgboost", {"n_estimators": 10, "max_depth": 4}).metrics
+    return _outcome(_trained(spark, folder, "xgboost", {"n_estimators": 20}))
 
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    trained = _trained(spark, folder, "random_forest", {"n_estimators": 10, "max_depth": 5})
-    return training.feature_importance(trained.model, trained.scored.drop("score", "prediction"))
+    """Numeric features named, and what importances add up to."""
+    trained = _trained(spark, folder, "random_forest", {"n_estimators": 30, "max_depth": 8})
+    found = training.feature_importance(trained.model, trained.scored.drop("score", "prediction"))
+    return finish(
+        found.agg(
+            F.count_if(~F.col("feature").contains("onehot")).alias("n_numeric"),
+            (F.abs(F.sum("importance") - 1) < 1e-6).alias("sum_to_one"),
+            (F.min("importance") >= 0).alias("none_negative"),
+            (F.countDistinct("feature") == F.count("feature")).alias("names_differ"),
+        )
+    )
 
 
 def tune(spark: SparkSession, folder: str) -> DataFrame:
-    """A small search over forests with stratified cross-validation."""
+    """A search over forests with stratified cross-validation: every setting, ranked once."""
     result = tuning.tune_model(
         _training_features(spark, folder),
         "random_forest",
-        n_iter=3,
+        n_iter=SEARCHED,
         cv=3,
-        grid={"n_estimators": [5, 10], "max_depth": [3, 5], "min_samples_leaf": [1, 4]},
+        grid=GRID,
         date_col="signup_date",
         exclude=LEAKING,
     )
-    return result.cv_results
+    listed = result.cv_results
+    score = F.col("mean_test_score")
+    return finish(
+        listed.select(
+            "params",
+            F.col("rank").between(1, SEARCHED).alias("ranked"),
+            ((score > 0.0) & (score <= 1.0)).alias("score_in_range"),
+            ((F.col("rank") > 1) | (score == F.lit(result.best_score))).alias("best_is_first"),
+        )
+    )
 
 
 def full_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Every step from events to reports; returns the metrics of the splits."""
-    result = jobs.full_run(
+    """Every step from events to reports, and the saved model evaluated again: figures read back from all files."""
+    out, again = scratch_path(spark, "run"), scratch_path(spark, "again")
+    jobs.full_run(
         customers(spark, folder),
         order_log(spark, folder),
         ORDER_WINDOW,
-        scratch_path(spark, "run"),
+        out,
         event_types=ORDER_TYPES,
         valued_types=("1-URGENT",),
         exclude=LEAKING,
+        date_col="signup_date",
     )
-    return result.trained.metrics
+    name = "logistic_regression"
+    jobs.evaluate_saved_model(
+        spark, f"{out}/models/{name}", f"{out}/features", again, name, date_col="signup_date"
+    )
+    rows = []
+    for run, path in (("trained", out), ("loaded", again)):
+        reports = f"{path}/reports"
+        splits = load_metrics(spark, f"{reports}/{name}_metrics").first()["splits"]
+        thresholds = spark.read.json(f"{reports}/threshold_analysis").first()
+        business = spark.read.json(f"{reports}/business_evaluation").first()
+        overall = spark.read.json(f"{reports}/error_analysis").where("segment_type = 'overall'").first()
+        curves = [spark.read.parquet(f"{reports}/{name}_{c}").select("split").distinct().count() for c in ("roc_curve", "pr_curve")]
+        counts = [splits[s]["confusion_matrix"] for s in ("train", "validation", "test")]
+        rows.append(
+            (
+                run,
+                *[sum(c[k] for k in ("true_positives", "true_negatives", "false_positives", "false_negatives")) for c in counts],
+                len(thresholds["threshold_analysis"]),
+                business["summary"]["total_customers"],
+                overall["n_samples"],
+                *curves,
+                spark.read.option("header", "true").csv(f"{reports}/business_evaluation_strategies").count() > 1,
+            )
+        )
+    schema = (
+        "run string, train long, validation long, test long, thresholds long, customers long, samples long, "
+        "roc_splits long, pr_splits long, strategies boolean"
+    )
+    return spark.createDataFrame(rows, schema)
 
 
 QUERIES = {
@@ -203,6 +293,10 @@ SELECT customer_id, {rounded("p", "churn_probability")}, {_PREDICTED} AS predict
             ELSE 'low' END AS confidence,
        {rounded(_VALUE, "expected_value")} FROM pr"""
 
+OUTCOME_COLUMNS = """split, count(*) AS total, count(*) FILTER (WHERE label = 0) AS class_0,
+       count(*) FILTER (WHERE label = 1) AS class_1, count(*) AS n_scored, true AS from_0, true AS to_1,
+       true AS better_than_chance"""
+
 SQL = {
     "staged_customers": f"""WITH {CUSTOMERS_SQL}
 SELECT customer_id, country, plan_type, {rounded("monthly_revenue", "monthly_revenue")},
@@ -215,4 +309,19 @@ SELECT plan_type || ';' || chr(10) AS plan_type, count(*) AS n_customers, {round
 FROM cu WHERE signup_date < DATE '1996-01-01' AND monthly_revenue >= 1000 GROUP BY plan_type""",
     "batch_scores": DECISIONS_SQL,
     "stream_scores": DECISIONS_SQL,
+    "train_logistic_regression": f"""{SCORED_SQL}
+SELECT {OUTCOME_COLUMNS}, true AS gradient_vanishes FROM s GROUP BY split""",
+    "train_random_forest": f"{SCORED_SQL} SELECT {OUTCOME_COLUMNS} FROM s GROUP BY split",
+    "train_boosting": f"{SCORED_SQL} SELECT {OUTCOME_COLUMNS} FROM s GROUP BY split",
+    "feature_importance": f"""SELECT CAST({32 - len(LEAKING)} AS BIGINT) AS n_numeric, true AS sum_to_one,
+       true AS none_negative, true AS names_differ""",
+    "tune": "SELECT params, true AS ranked, true AS score_in_range, true AS best_is_first FROM (VALUES "
+    + ", ".join(f"('{', '.join(f'{k}={v}' for k, v in x.items())}')" for x in tuning.sample_settings(GRID, SEARCHED))
+    + ") AS v(params)",
+    "full_run": f"""{SCORED_SQL},
+n AS (SELECT count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'validation') AS validation,
+             count(*) FILTER (WHERE split = 'test') AS test FROM s)
+SELECT run, train, validation, test, CAST(100 AS BIGINT) AS thresholds, test AS customers, test AS samples,
+       CAST(3 AS BIGINT) AS roc_splits, CAST(3 AS BIGINT) AS pr_splits, true AS strategies
+FROM n, (VALUES ('trained'), ('loaded')) AS r(run)""",
 }

@@ -124,6 +124,8 @@ def test_tuning(spark, features, tmp_path):
     test = tuned.test_metrics.first()
     assert test["total"] == 120 and test["roc_auc"] > 0.7
     saved = spark.read.json(str(tmp_path / "reports/tuning_summary_random_forest")).first()
+    assert saved["best_params"].asDict() == {k: str(v) for k, v in tuned.best_params.items()}
+    assert saved["test_metrics"]["roc_auc"] == pytest.approx(test["roc_auc"])
     assert saved["best_cv_score"] == pytest.approx(tuned.best_score) and len(saved["cv_results"]) == 3
     assert isinstance(load_model(str(tmp_path / "models/random_forest_tuned")), PipelineModel)
 
