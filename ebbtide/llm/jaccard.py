@@ -11,7 +11,9 @@ windows into the region makes the regions independent: each is joined on its own
   share, y can hold at most ``w(y)``.  So y is copied into the regions of its first ``w(y) + 1`` shingles and no other.
   With ``SHARED`` - 1 shingles more, partners meet in ``SHARED`` regions (or in as many as they must share at all), so a
   pair that meets less often is dropped before its sets are looked at.  Shingles that a count-min sketch calls frequent
-  come last in the order, so almost all regions are small.
+  come last in the order, so almost all regions are small.  A region with one document tells more: its shingle is in no
+  other set.  A document with more than ``w`` such shingles is at a distance over ``eps`` from every other one and
+  leaves; of the others the number bounds what a pair can share, and so how near it can be.
 * Further levels.  The regions of frequent shingles hold large groups of near copies.  There distances say much:
   documents are compared with a few document pivots, go to the region of the nearest one and to those within
   ``2 eps``, and are cut into rings of width ``eps`` around it, copied into the next ring.  Documents within ``eps`` of
@@ -159,6 +161,22 @@ def _near(inter: Column, a: Column, b: Column, percent: int) -> Column:
     return inter * 100 >= (a + b - inter) * percent
 
 
+def _may_be_near(p: Column, q: Column, percent: int) -> Column:
+    """Whether two documents with sizes ``n`` and ``own`` shingles that no other one has can be near."""
+    most = F.least(p["n"] - p["own"], q["n"] - q["own"])
+    return _near(most.cast("long"), p["n"], q["n"], percent)
+
+
+def _signature() -> list[Column]:
+    """Two sums that tell apart regions with different documents."""
+    return [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"sum{i}") for i in (1, 2)]
+
+
+def _one_of_each(spans: DataFrame) -> DataFrame:
+    """``region`` and ``size`` of one of all regions with the same documents, as those of near copies often are."""
+    return spans.groupBy("size", "sum1", "sum2").agg(F.min("region").alias("region")).select("region", "size")
+
+
 class _Join:
     """State of one run: sets, links found so far, and what the next level has to look at."""
 
@@ -190,16 +208,19 @@ class _Join:
         return measured
 
     def labels(self) -> DataFrame:
-        return store(connected_components(reduce(DataFrame.unionByName, self.links)), "labels")
+        """``node`` and ``component`` by the links so far, which from then on stand for them."""
+        labels = store(connected_components(reduce(DataFrame.unionByName, self.links)), "labels")
+        self.links = [labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))]
+        return labels
 
     def small_pairs(self, regions: DataFrame, *more: str) -> DataFrame:
         """Pairs ``p``, ``q`` of members of each region, whose sizes allow a link; regions have few documents."""
-        member = F.struct("node", "n", *more)
+        member = F.struct("node", "n", "own", *more)
         members = regions.groupBy("region").agg(F.sort_array(F.collect_list(member)).alias("m")).where("size(m) > 1")
         pairs = members.select(F.posexplode("m").alias("i", "p"), "m").select(
             "p", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("q")
         )
-        fits = F.least("p.n", "q.n") * 100 >= F.greatest("p.n", "q.n") * self.percent
+        fits = _may_be_near(F.col("p"), F.col("q"), self.percent)
         return pairs.where(fits & (F.col("p.node") != F.col("q.node")))
 
     def met_often(self, rare: DataFrame) -> DataFrame:
@@ -221,7 +242,7 @@ class _Join:
         return pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
     def level(self, regions: DataFrame, level: int) -> DataFrame | None:
-        """One level over ``regions`` (region, node, n), one row per document and region; the rows of the next level."""
+        """One level over ``regions`` (region, node, n, own), a row per document and region; the rows of the next level."""
         # The same few documents are pivots in all regions of a group of near copies, so distances are shared.
         chance = F.xxhash64("node", F.lit(level))
         pivots = regions.groupBy("region", F.pmod(chance, F.lit(PIVOTS)).alias("k")).agg(
@@ -229,7 +250,7 @@ class _Join:
         )
         pivots = store(pivots.select("region", F.col("p.node").alias("pivot")), "pivots")
         near_pivots = store(
-            regions.join(pivots, "region").where("node <> pivot").select("region", "node", "n", "pivot"), "to-pivots"
+            regions.join(pivots, "region").where("node <> pivot").select("region", "node", "n", "own", "pivot"), "to-pivots"
         )
         pairs = near_pivots.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
         measured = self.measure(pairs, "pivot-distances")
@@ -245,7 +266,7 @@ class _Join:
         inside = (
             rest.join(nearest, ["region", "node"])
             .where(F.col("distance") <= F.col("nearest") + 2 * self.eps + 1e-9)
-            .select("region", "pivot", "node", "n", ring.alias("ring"), (F.col("distance") / self.eps).alias("at"))
+            .select("region", "pivot", "node", "n", "own", ring.alias("ring"), (F.col("distance") / self.eps).alias("at"))
         )
         # Rings overlap by the next one; at a rounded border a document counts as on both sides.
         rings = inside.select(
@@ -261,18 +282,21 @@ class _Join:
                 )
             ).alias("part"),
         )
-        named = rings.select(F.xxhash64("region", "pivot", "part").alias("region"), "node", "n").distinct()
+        named = rings.select(F.xxhash64("region", "pivot", "part").alias("region"), "node", "n", "own").distinct()
         named = named.join(labels.select("node", F.col("component").alias("label")), "node", "left")
         named = store(named.withColumn("label", F.coalesce("label", "node")), "rings")
         spans = named.groupBy("region").agg(
-            F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high")
+            F.count(F.lit(1)).alias("size"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            *_signature(),
         )
-        open_ = store(spans.where("low <> high").select("region", "size"), "open")
+        open_ = store(_one_of_each(spans.where("low <> high")), "open")
         limit = SMALL_REGION << level
         small = named.join(open_.where(F.col("size") <= limit).select("region"), "region", "left_semi")
         self.measure(self.apart(small), "ring-pairs")
         large = named.join(open_.where(F.col("size") > limit).select("region"), "region", "left_semi")
-        large = store(large.select("region", "node", "n"), "large")
+        large = store(large.select("region", "node", "n", "own"), "large")
         return None if large.isEmpty() else large
 
 
@@ -324,11 +348,18 @@ def near_duplicates(
     firsts = store(
         firsts.select("node", "order", F.col("n_shingles").alias("n"), "rare", "frequent").dropDuplicates(["node"]), "firsts"
     )
+    # Shingles of one document alone: regions of one row, counted for the node they name.
+    rare = firsts.select(F.explode("rare").alias("region"), "node")
+    alone = rare.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.first("node").alias("node")).where("size = 1")
+    own = alone.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("own"))
+    near = firsts.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    near = near.where(F.col("own") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
+    near = store(near, "near")
     # A rare shingle stands in fewer than FREQUENT documents, so its region is a short list.
-    rare = firsts.select(F.explode("rare").alias("region"), "node", "n", F.size("frequent").alias("f"))
-    frequent = store(firsts.select(F.explode("frequent").alias("region"), "node", "n"), "frequent")
-    sizes = frequent.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sizes = store(sizes, "sizes")
+    rare = near.select(F.explode("rare").alias("region"), "node", "n", "own", F.size("frequent").alias("f"))
+    frequent = store(near.select(F.explode("frequent").alias("region"), "node", "n", "own"), "frequent")
+    sizes = frequent.groupBy("region").agg(F.count(F.lit(1)).alias("size"), *_signature()).where("size > 1")
+    sizes = store(_one_of_each(sizes), "sizes")
     tiny = frequent.join(sizes.where(F.col("size") <= SMALL_REGION).select("region"), "region", "left_semi")
     large = frequent.join(sizes.where(F.col("size") > SMALL_REGION).select("region"), "region", "left_semi")
     large = store(large, "large")
