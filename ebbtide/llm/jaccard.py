@@ -11,9 +11,9 @@ windows into the region makes the regions independent: each is joined on its own
   share, y can hold at most ``w(y)``.  So y is copied into the regions of its first ``w(y) + 1`` shingles and no other.
   With ``SHARED`` - 1 shingles more, partners meet in ``SHARED`` regions (or in as many as they must share at all), so a
   pair that meets less often is dropped before its sets are looked at.  Shingles that a count-min sketch calls frequent
-  come last in the order, so almost all regions are small.  A region with one document tells more: its shingle is in no
-  other set.  A document with more than ``w`` such shingles is at a distance over ``eps`` from every other one and
-  leaves; of the others the number bounds what a pair can share, and so how near it can be.
+  come last in the order, so almost all regions are small.  The sketch tells more: a shingle that it counts once is in no
+  other document.  A document with more than ``w`` of them is at a distance over ``eps`` from every other one and is in
+  no region; of the others the number bounds what a pair can share, and so how near it can be.
 * Further levels.  The regions of frequent shingles hold large groups of near copies.  There distances say much:
   documents are compared with a few document pivots, go to the region of the nearest one and to those within
   ``2 eps``, and are cut into rings of width ``eps`` around it, copied into the next ring.  Documents within ``eps`` of
@@ -47,7 +47,7 @@ SHARED = 4
 # A region of at most so many documents is compared pair by pair; doubled with every level, so the recursion ends.
 SMALL_REGION = 16
 MEMBERS = (
-    "doc_id long, order long, text_key long, n_shingles int, node long, digest binary, "
+    "doc_id long, order long, text_key long, n_shingles int, own int, node long, digest binary, "
     "rare array<long>, frequent array<long>"
 )
 SETS = "node long, shingles array<long>"
@@ -113,10 +113,13 @@ def _members(shared, size: int, percent: int, salt: int):
         for batch in batches:
             for first, last, keys, begins in shingle_sets(batch.column(3), size):
                 sizes = np.diff(begins)
-                frequent = sketch.reaches(keys)
+                frequent = sketch.reaches(keys, FREQUENT)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
                 order = np.lexsort((frequent, owner))
-                wanted = sizes - -(-sizes * percent // 100) + SHARED
+                spare = sizes - -(-sizes * percent // 100)
+                own = np.bincount(owner[~sketch.reaches(keys, 2)], minlength=len(sizes))
+                # Documents that are far from all others have no place in any region.
+                wanted = np.where(own > spare, 0, spare + SHARED)
                 ahead = np.arange(len(keys)) - begins[:-1][owner] < wanted[owner]
                 taken = order[ahead]
                 part, cold = owner[taken], ~frequent[taken]
@@ -128,12 +131,13 @@ def _members(shared, size: int, percent: int, salt: int):
                         batch.column(1).slice(first, last - first),
                         batch.column(2).slice(first, last - first),
                         pa.array(sizes.astype(np.int32)),
+                        pa.array(own.astype(np.int32)),
                         pa.array(_nodes(digests, salt)),
                         pa.array([raw[16 * i : 16 * i + 16] for i in range(len(sizes))], pa.binary()),
                         _lists(keys[taken][cold], np.bincount(part[cold], minlength=len(sizes))),
                         _lists(keys[taken][~cold], np.bincount(part[~cold], minlength=len(sizes))),
                     ],
-                    ["doc_id", "order", "text_key", "n_shingles", "node", "digest", "rare", "frequent"],
+                    ["doc_id", "order", "text_key", "n_shingles", "own", "node", "digest", "rare", "frequent"],
                 )
 
     return run
@@ -327,7 +331,7 @@ def near_duplicates(
     )
     texts = rows.select("text")
     letters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    shingles = Sketch(row_bits(letters / 6), 1, FREQUENT).gather(
+    shingles = Sketch(row_bits(letters / 6), 2, 2, FREQUENT).gather(
         texts, lambda batch: (keys for _, _, keys, _ in shingle_sets(batch.column(0), size))
     )
     members = store(
@@ -345,16 +349,9 @@ def near_duplicates(
     if not classes.where("low <> high").isEmpty():
         return near_duplicates(docs, size, percent, id_col, text_col, salt + 1)
     firsts = members.join(classes.select("node", "who"), "node").where(who == F.col("who"))
-    firsts = store(
-        firsts.select("node", "order", F.col("n_shingles").alias("n"), "rare", "frequent").dropDuplicates(["node"]), "firsts"
-    )
-    # Shingles of one document alone: regions of one row, counted for the node they name.
-    rare = firsts.select(F.explode("rare").alias("region"), "node")
-    alone = rare.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.first("node").alias("node")).where("size = 1")
-    own = alone.groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("own"))
-    near = firsts.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    near = near.where(F.col("own") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
-    near = store(near, "near")
+    firsts = firsts.where(F.size("rare") + F.size("frequent") > 0)
+    near = firsts.select("node", "order", F.col("n_shingles").alias("n"), "own", "rare", "frequent")
+    near = store(near.dropDuplicates(["node"]), "near")
     # A rare shingle stands in fewer than FREQUENT documents, so its region is a short list.
     rare = near.select(F.explode("rare").alias("region"), "node", "n", "own", F.size("frequent").alias("f"))
     frequent = store(near.select(F.explode("frequent").alias("region"), "node", "n", "own"), "frequent")
@@ -369,7 +366,7 @@ def near_duplicates(
     first_pairs = store(first_pairs.distinct(), "pairs")
     nodes = first_pairs.select(F.col("a").alias("node")).unionByName(first_pairs.select(F.col("b").alias("node")))
     nodes = nodes.unionByName(large.select("node")).distinct()
-    nodes = store(firsts.select("node", "order").join(nodes, "node", "left_semi"), "wanted")
+    nodes = store(near.select("node", "order").join(nodes, "node", "left_semi"), "wanted")
     wanted = Sketch(row_bits(8 * nodes.count()), 1, 1).gather(
         nodes, lambda batch: iter([_place(batch.column(0).to_numpy(), batch.column(1).to_numpy())])
     )

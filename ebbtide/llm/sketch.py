@@ -1,4 +1,4 @@
-"""Count-min sketches of 64-bit keys over a whole corpus, merged by slices and reduced to one bit per counter.
+"""Count-min sketches of 64-bit keys over a whole corpus, merged by slices and reduced to a bit per counter and limit.
 
 Counters only ever overestimate, so "below the limit" is certain and "at the limit or more" may be wrong.
 """
@@ -45,11 +45,11 @@ def _positions(gaps: pa.Buffer) -> np.ndarray:
 
 
 class Sketch:
-    """``depth`` rows of ``1 << bits`` counters; after ``gather`` one bit each: count at least ``limit`` (up to 255)."""
+    """``depth`` rows of ``1 << bits`` counters; after ``gather`` one bit each for every limit (up to 255): reached it."""
 
-    def __init__(self, bits: int, depth: int, limit: int):
-        self.bits, self.depth, self.limit = bits, depth, limit
-        self.reached = np.zeros(0, np.uint8)
+    def __init__(self, bits: int, depth: int, *limits: int):
+        self.bits, self.depth, self.limits = bits, depth, limits
+        self.reached: dict[int, np.ndarray] = {}
 
     def cells(self, keys: np.ndarray, row: int) -> np.ndarray:
         spread = W.mix(keys ^ W.U64(SALTS[row])) >> W.U64(64 - self.bits)
@@ -82,10 +82,10 @@ class Sketch:
 
     def _merge(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums the partial counts of each slice, which come in a row; one slice is held at a time."""
-        current, total, limit = None, None, self.limit
+        current, total, limits = None, None, self.limits
 
         def finished() -> pa.RecordBatch:
-            bits = np.packbits(total >= limit).tobytes()
+            bits = b"".join(np.packbits(total >= limit).tobytes() for limit in limits)
             return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([bits])], ["slice", "bits"])
 
         for batch in batches:
@@ -102,7 +102,7 @@ class Sketch:
     def gather(self, df: DataFrame, keys_of: Keys) -> Sketch:
         """Count the keys that ``keys_of`` finds in the batches of ``df``.
 
-        A task sends about a byte for each key and row; the driver gets one bit per counter.
+        A task sends about a byte for each key and row; the driver gets a bit per counter and limit.
         """
         merged = (
             df.mapInArrow(self._count(keys_of), "slice int, counts binary")
@@ -110,17 +110,20 @@ class Sketch:
             .sortWithinPartitions("slice")
             .mapInArrow(self._merge, "slice int, bits binary")
         )
-        self.reached = np.zeros((self.depth << self.bits) // 8, np.uint8)
+        self.reached = {limit: np.zeros((self.depth << self.bits) // 8, np.uint8) for limit in self.limits}
         step = SLICE // 8
         for row in merged.toLocalIterator():
-            self.reached[row["slice"] * step : (row["slice"] + 1) * step] = np.frombuffer(row["bits"], np.uint8)
+            planes = np.frombuffer(row["bits"], np.uint8).reshape(len(self.limits), step)
+            for limit, plane in zip(self.limits, planes):
+                self.reached[limit][row["slice"] * step : (row["slice"] + 1) * step] = plane
         return self
 
-    def reaches(self, keys: np.ndarray) -> np.ndarray:
-        """False where the count is certainly below the limit."""
+    def reaches(self, keys: np.ndarray, limit: int | None = None) -> np.ndarray:
+        """False where the count is certainly below the limit (the first one if none is named)."""
+        bits = self.reached[self.limits[0] if limit is None else limit]
         out = np.ones(len(keys), bool)
         for row in range(self.depth):
             rows = np.flatnonzero(out)
             at = self.cells(keys[rows], row)
-            out[rows] = (self.reached[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+            out[rows] = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
         return out
