@@ -119,5 +119,7 @@ def keep_first(
         same = marked[id_col].cast("long").eqNullSafe(of["kept_id"]) & (marked[name] == of["kept_digest"])
         return marked.join(of, same, "left_semi")
 
-    single, tied = rows(verdict.where("rows = 1")), rows(verdict.where("rows > 1"))
-    return single.unionByName(tied.dropDuplicates([name])).drop(name)
+    single, ties = rows(verdict.where("rows = 1")), verdict.where("rows > 1")
+    if ties.isEmpty():
+        return single.drop(name)
+    return single.unionByName(rows(ties).dropDuplicates([name])).drop(name)
