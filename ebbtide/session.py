@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,9 +53,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder; ``clear_scratch`` removes it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch() -> int:
+    """Remove what was written below the scratch paths handed out so far; returns how many there were.
+
+    Frames read from them are lost, so call it when the results of a job have been used.
+    """
+    removed = 0
+    while _SCRATCH:
+        path = _SCRATCH.pop()
+        system, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else os.path.abspath(path))
+        if system.get_file_info(place).type == fs.FileType.Directory:
+            system.delete_dir(place)
+            removed += 1
+    return removed
 
 
 def materialise(df: DataFrame) -> DataFrame:

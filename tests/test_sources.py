@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date
 from decimal import Decimal
 from glob import glob
@@ -13,7 +14,7 @@ from ebbtide.operators.evaluation import compare_models, evaluate, model_report
 from ebbtide.operators.scoring import DecisionParameters
 from ebbtide.plans.jobs import business_evaluation, compare_saved_models, error_analysis, threshold_analysis
 from ebbtide.schemas import CUSTOMERS
-from ebbtide.session import scratch_path, shared_folder
+from ebbtide.session import clear_scratch, scratch_path, shared_folder
 from ebbtide.sources import raw, reports, tables
 from tests.test_decisions import scored
 from tests.test_features import make_customers
@@ -25,6 +26,14 @@ def test_shared_folder_is_the_configured_one(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_scratch_is_removed_on_request(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert clear_scratch() >= 1 and not os.path.exists(path)
+    assert clear_scratch() == 0
+
+
 def test_csv_wins_over_parquet_and_all_files_are_read(spark, tmp_path):
     df = make_customers(spark, ["a", "b", "c"])
     folder = str(tmp_path / "raw")
