@@ -27,7 +27,7 @@ numbered anew.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -44,8 +44,9 @@ from ebbtide.llm.sketch import Sketch, row_bits
 FREQUENT = 8
 PIVOTS = 2
 SHARED = 4
-# A region of at most so many documents is compared pair by pair; doubled with every level, so the recursion ends.
-SMALL_REGION = 16
+# A region of at most so many documents is compared pair by pair where components differ; four times as many with every
+# level, so the recursion ends.
+SMALL_REGION = 64
 MEMBERS = (
     "doc_id long, order long, text_key long, n_shingles int, own int, node long, digest binary, "
     "rare array<long>, frequent array<long>"
@@ -217,15 +218,25 @@ class _Join:
         self.links = [labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))]
         return labels
 
-    def small_pairs(self, regions: DataFrame, *more: str) -> DataFrame:
-        """Pairs ``p``, ``q`` of members of each region, whose sizes allow a link; regions have few documents."""
+    def small_pairs(
+        self, regions: DataFrame, *more: str, also: Callable[[Column, Column], Column] | None = None
+    ) -> DataFrame:
+        """Pairs ``p``, ``q`` of members of each region that can be near (and fulfil ``also``); regions are bounded.
+
+        Only pairs that pass leave the expression over a region's list.
+        """
         member = F.struct("node", "n", "own", *more)
         members = regions.groupBy("region").agg(F.sort_array(F.collect_list(member)).alias("m")).where("size(m) > 1")
-        pairs = members.select(F.posexplode("m").alias("i", "p"), "m").select(
-            "p", F.explode(F.expr("slice(m, i + 2, size(m))")).alias("q")
-        )
-        fits = _may_be_near(F.col("p"), F.col("q"), self.percent)
-        return pairs.where(fits & (F.col("p.node") != F.col("q.node")))
+
+        def fits(p: Column, q: Column) -> Column:
+            near = (p["node"] != q["node"]) & _may_be_near(p, q, self.percent)
+            return near if also is None else also(p, q) & near
+
+        def partners(p: Column, i: Column) -> Column:
+            later = F.filter(F.slice("m", i + 2, F.size("m")), lambda q: fits(p, q))
+            return F.transform(later, lambda q: F.struct(p.alias("p"), q.alias("q")))
+
+        return members.select(F.explode(F.flatten(F.transform("m", partners))).alias("pair")).select("pair.p", "pair.q")
 
     def met_often(self, rare: DataFrame) -> DataFrame:
         """Pairs that meet in as many regions of rare shingles as partners must.
@@ -242,7 +253,7 @@ class _Join:
 
     def apart(self, regions: DataFrame) -> DataFrame:
         """Distinct pairs inside regions whose documents are not connected yet."""
-        pairs = self.small_pairs(regions, "label").where(F.col("p.label") != F.col("q.label"))
+        pairs = self.small_pairs(regions, "label", also=lambda p, q: p["label"] != q["label"])
         return pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
     def level(self, regions: DataFrame, level: int) -> DataFrame | None:
@@ -296,7 +307,7 @@ class _Join:
             *_signature(),
         )
         open_ = store(_one_of_each(spans.where("low <> high")), "open")
-        limit = SMALL_REGION << level
+        limit = SMALL_REGION << (2 * level)
         small = named.join(open_.where(F.col("size") <= limit).select("region"), "region", "left_semi")
         self.measure(self.apart(small), "ring-pairs")
         large = named.join(open_.where(F.col("size") > limit).select("region"), "region", "left_semi")
