@@ -14,11 +14,16 @@ windows into the region makes the regions independent: each is joined on its own
   come last in the order, so almost all regions are small.  The sketch tells more: a shingle that it counts once is in no
   other document.  A document with more than ``w`` of them is at a distance over ``eps`` from every other one and is in
   no region; of the others the number bounds what a pair can share, and so how near it can be.
-* Further levels.  The regions of frequent shingles hold large groups of near copies.  There distances say much:
+* Second level.  The documents of the large regions stand once each, and their shingles are counted among them exactly,
+  whatever the sketch took for frequent.  The same windows apply in the order of these counts; a shingle that no other
+  one of these documents has is no pivot.  A document's place in the order bounds what it shares with the partners of a
+  region, because they share nothing that stands before the first region they meet in.
+* Further levels.  What is still large holds groups of near copies.  There distances say much:
   documents are compared with a few document pivots, go to the region of the nearest one and to those within
   ``2 eps``, and are cut into rings of width ``eps`` around it, copied into the next ring.  Documents within ``eps`` of
   the pivot are linked with it and so with each other, and need no more comparisons among themselves: a ring whose
-  documents (with those of the rings beside it) are all connected already is dropped.
+  documents (with those of the rings beside it) are all connected already is dropped.  A level that does not halve the
+  rows is the last: the regions are cut into blocks, and a join of rows compares each block with its region.
 
 Links are decided with whole numbers from whole sets.  Sets are compared by 64-bit hashes of shingles and documents
 with equal sets stand as one node, named by a 64-bit number; should two 128-bit digests of sets get one number, all are
@@ -44,9 +49,10 @@ from ebbtide.llm.sketch import Sketch, row_bits
 FREQUENT = 8
 PIVOTS = 2
 SHARED = 4
-# A region of at most so many documents is compared pair by pair where components differ; four times as many with every
-# level, so the recursion ends.
+# A region of at most so many documents is compared pair by pair where components differ, in one row.
 SMALL_REGION = 64
+# Documents of a region that pivots do not part which one key of a join holds; they meet all others of the region.
+BLOCK = 4096
 MEMBERS = (
     "doc_id long, order long, text_key long, n_shingles int, own int, node long, digest binary, "
     "rare array<long>, frequent array<long>"
@@ -256,6 +262,53 @@ class _Join:
         pairs = self.small_pairs(regions, "label", also=lambda p, q: p["label"] != q["label"])
         return pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
+    def labelled(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
+        """``rows`` with the ``label`` of each node: its component, or itself."""
+        rows = rows.join(labels.select("node", F.col("component").alias("label")), "node", "left")
+        return rows.withColumn("label", F.coalesce("label", "node"))
+
+    def windows(self, nodes: DataFrame) -> DataFrame | None:
+        """The first level again over ``nodes`` (node), in the order of the exact counts of shingles among them.
+
+        Small regions are compared; returns the rows of the large ones (region, node, n, own, label).
+        """
+        labels = self.labels()
+        size = F.size("shingles")
+        held = self.sets.join(nodes, "node", "left_semi").select("node", size.alias("n"), F.explode("shingles").alias("shingle"))
+        counts = store(held.groupBy("shingle").agg(F.count(F.lit(1)).alias("count")).where("count > 1"), "counts")
+        shared = held.join(counts, "shingle").groupBy("node").agg(
+            F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("shared")
+        )
+        own, spare = F.col("n") - F.size("shared"), F.floor(F.col("n") * (100 - self.percent) / 100).cast("int")
+        ahead = shared.select("node", "n", own.alias("own"), "shared", (spare - own + 1).alias("ahead")).where("ahead > 0")
+        first = F.slice("shared", F.lit(1), F.col("ahead"))
+        placed = ahead.select("node", "n", "own", F.posexplode(first).alias("i", "s"))
+        placed = placed.select(F.col("s.shingle").alias("region"), "node", "n", "own", (F.col("own") + F.col("i")).alias("at"))
+        placed = store(self.labelled(placed, labels), "windows")
+        spans = placed.groupBy("region").agg(
+            F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), *_signature()
+        )
+        open_ = store(spans.where("low <> high"), "window-sizes")
+        small = placed.join(open_.where(F.col("size") <= SMALL_REGION).select("region"), "region", "left_semi")
+        self.measure(self.apart(small.select("region", "node", "n", F.col("at").alias("own"), "label")), "window-pairs")
+        # Places differ between regions with the same documents, own shingles do not.
+        large = placed.join(_one_of_each(open_.where(F.col("size") > SMALL_REGION)).select("region"), "region", "left_semi")
+        large = store(large.select("region", "node", "n", "own", "label"), "large")
+        return None if large.isEmpty() else large
+
+    def blocks(self, regions: DataFrame) -> None:
+        """Compares the documents of ``regions`` (region, node, n, own, label) by rows, however large a region is."""
+        sizes = store(regions.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
+        dealt = regions.join(sizes, "region")
+        member = F.struct("node", "n", "own", "label")
+        left = dealt.select("region", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), member.alias("p"))
+        right = dealt.select("region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), member.alias("q"))
+        p, q = F.col("p"), F.col("q")
+        pairs = left.join(right, ["region", "block"]).where(
+            (p["node"] < q["node"]) & (p["label"] != q["label"]) & _may_be_near(p, q, self.percent)
+        )
+        self.measure(pairs.select(p["node"].alias("a"), q["node"].alias("b")).distinct(), "block-pairs")
+
     def level(self, regions: DataFrame, level: int) -> DataFrame | None:
         """One level over ``regions`` (region, node, n, own), a row per document and region; the rows of the next level."""
         # The same few documents are pivots in all regions of a group of near copies, so distances are shared.
@@ -298,8 +351,7 @@ class _Join:
             ).alias("part"),
         )
         named = rings.select(F.xxhash64("region", "pivot", "part").alias("region"), "node", "n", "own").distinct()
-        named = named.join(labels.select("node", F.col("component").alias("label")), "node", "left")
-        named = store(named.withColumn("label", F.coalesce("label", "node")), "rings")
+        named = store(self.labelled(named, labels), "rings")
         spans = named.groupBy("region").agg(
             F.count(F.lit(1)).alias("size"),
             F.min("label").alias("low"),
@@ -307,11 +359,10 @@ class _Join:
             *_signature(),
         )
         open_ = store(_one_of_each(spans.where("low <> high")), "open")
-        limit = SMALL_REGION << (2 * level)
-        small = named.join(open_.where(F.col("size") <= limit).select("region"), "region", "left_semi")
+        small = named.join(open_.where(F.col("size") <= SMALL_REGION).select("region"), "region", "left_semi")
         self.measure(self.apart(small), "ring-pairs")
-        large = named.join(open_.where(F.col("size") > limit).select("region"), "region", "left_semi")
-        large = store(large.select("region", "node", "n", "own"), "large")
+        large = named.join(open_.where(F.col("size") > SMALL_REGION).select("region"), "region", "left_semi")
+        large = store(large.select("region", "node", "n", "own", "label"), "large")
         return None if large.isEmpty() else large
 
 
@@ -370,13 +421,13 @@ def near_duplicates(
     sizes = store(_one_of_each(sizes), "sizes")
     tiny = frequent.join(sizes.where(F.col("size") <= SMALL_REGION).select("region"), "region", "left_semi")
     large = frequent.join(sizes.where(F.col("size") > SMALL_REGION).select("region"), "region", "left_semi")
-    large = store(large, "large")
+    large = store(large.select("node").distinct(), "large")
 
     run = _Join(percent)
     first_pairs = run.met_often(rare).unionByName(run.apart(tiny.withColumn("label", F.col("node"))))
     first_pairs = store(first_pairs.distinct(), "pairs")
     nodes = first_pairs.select(F.col("a").alias("node")).unionByName(first_pairs.select(F.col("b").alias("node")))
-    nodes = nodes.unionByName(large.select("node")).distinct()
+    nodes = nodes.unionByName(large).distinct()
     nodes = store(near.select("node", "order").join(nodes, "node", "left_semi"), "wanted")
     wanted = Sketch(row_bits(8 * nodes.count()), 1, 1).gather(
         nodes, lambda batch: iter([_place(batch.column(0).to_numpy(), batch.column(1).to_numpy())])
@@ -384,10 +435,13 @@ def near_duplicates(
     sets = rows.select("order", "text").mapInArrow(_sets_of(broadcast(wanted), size, salt), SETS)
     run.sets = store(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
     run.measure(first_pairs, "distances")
-    level, regions = 0, None if large.isEmpty() else large
+    level, regions = 0, None if large.isEmpty() else run.windows(large)
     while regions is not None:
-        regions = run.level(regions, level)
-        level += 1
+        deeper = run.level(regions, level)
+        if deeper is not None and 2 * deeper.count() > regions.count():
+            run.blocks(deeper)
+            deeper = None
+        level, regions = level + 1, deeper
     labels = run.labels()
     verdict = members.select("doc_id", "order", "text_key", "n_shingles", "node").join(labels, "node", "left")
     # Sets without a link stand for their copies; rows without shingles stand alone.

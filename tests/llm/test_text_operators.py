@@ -64,6 +64,43 @@ def test_small_regions_are_split_again(docs, rows, monkeypatch):
     assert sorted_rows(got) == brute.components(rows, 3, 85)
 
 
+@pytest.fixture(scope="module")
+def template(spark):
+    """Many copies of a template with edits of their own, some just under the threshold, as rows and as a frame."""
+    rnd = random.Random(11)
+    base = [f"t{i}" for i in range(80)]
+    rows = []
+    for n in range(60):
+        text = list(base)
+        for i in rnd.sample(range(80), rnd.choice([1, 2, 3, 4])):
+            text[i] = f"e{rnd.randrange(30)}"
+        rows.append((n, " ".join(text)))
+    return rows, spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("block", [2, 4096])
+def test_regions_that_pivots_do_not_part(template, monkeypatch, block):
+    rows, docs = template
+    sizes, cut = [], []
+    apart, blocks = jaccard._Join.apart, jaccard._Join.blocks
+    monkeypatch.setattr(jaccard, "SMALL_REGION", 3)
+    monkeypatch.setattr(jaccard, "BLOCK", block, raising=False)
+
+    def sized(self, regions):
+        sizes.extend(r["count"] for r in regions.groupBy("region").count().collect())
+        return apart(self, regions)
+
+    def counted(self, regions):
+        cut.append(1)
+        return blocks(self, regions)
+
+    monkeypatch.setattr(jaccard._Join, "apart", sized)
+    monkeypatch.setattr(jaccard._Join, "blocks", counted)
+    got = jaccard.near_duplicates(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
+    assert sorted_rows(got) == brute.components(rows, 3, 90)
+    assert cut and max(sizes) <= 3
+
+
 def test_one_of_each_component_is_kept(docs):
     found = jaccard.near_duplicates(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), 5, 80)
     kept = found.where("kept").collect()
