@@ -101,6 +101,41 @@ def test_regions_that_pivots_do_not_part(template, monkeypatch, block):
     assert cut and max(sizes) <= 3
 
 
+def test_a_full_sketch_leaves_the_order_to_exact_counts(spark, monkeypatch):
+    rnd = random.Random(3)
+    common = [f"of the kind {i}" for i in range(4)]
+    rows = []
+    for n in range(80):
+        words_ = [f"u{n}x{i}" for i in range(20)]
+        rows.append((n, " ".join(words_[:10] + common + words_[10:])))
+    rows += [(100 + n, f"{text} end{n}") for n, text in rows[:5]]
+    rnd.shuffle(rows)
+    measured = []
+    measure = jaccard._Join.measure
+
+    def named(self, pairs, name):
+        measured.append((name, pairs.count()))
+        return measure(self, pairs, name)
+
+    gather = jaccard.Sketch.gather
+
+    def full(self, df, keys_of):
+        gather(self, df, keys_of)
+        for bits in self.reached.values():
+            bits[:] = 255
+        return self
+
+    # A sketch with far too few counters calls every shingle shared and frequent.
+    monkeypatch.setattr(jaccard.Sketch, "gather", full)
+    monkeypatch.setattr(jaccard, "SMALL_REGION", 3)
+    monkeypatch.setattr(jaccard._Join, "measure", named)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA), 3, 80).select("doc_id", "n_shingles", "component_id")
+    assert sorted_rows(got) == brute.components(rows, 3, 80)
+    # Documents that share the common words alone are not compared.
+    assert {n for n, _ in measured} == {"distances", "window-pairs"}
+    assert sum(pairs for _, pairs in measured) <= 10
+
+
 def test_one_of_each_component_is_kept(docs):
     found = jaccard.near_duplicates(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), 5, 80)
     kept = found.where("kept").collect()
