@@ -214,3 +214,26 @@ def test_imputing_with_an_infinite_median(spark):
     df = spark.createDataFrame([(float("inf"),), (float("inf"),), (None,), (1.0,)], "a double")
     fitted = prep.MedianImputer(inputCols=["a"], outputCols=["b"]).fit(df)
     assert sorted(r["b"] for r in fitted.transform(df).collect()) == [1.0] + [float("inf")] * 3
+
+
+def test_queries_use_the_reference_sizes(monkeypatch):
+    from ebbtide.queries import modelling
+
+    asked = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(*args, **options):
+        asked.append((args[1:], options))
+        raise Stop
+
+    monkeypatch.setattr(modelling, "_training_features", lambda spark, folder: None)
+    monkeypatch.setattr(modelling.training, "train_model", stop)
+    monkeypatch.setattr(modelling.tuning, "tune_model", stop)
+    for query in ("train_boosting", "feature_importance", "tune_full_space"):
+        with pytest.raises(Stop):
+            modelling.QUERIES[query](None, "")
+    (boosting, _), (forest, _), (_, search) = asked
+    assert boosting == ("xgboost", None) and forest == ("random_forest", None)
+    assert not {"n_iter", "cv", "grid"} & set(search)
