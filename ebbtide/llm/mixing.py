@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +34,7 @@ def rake(
     occur.  A cell with a value that has no target or no tokens gets weight 0.  Each round scales the weights to every
     dimension in turn; rounds end when all sums are within ``tolerance`` of their targets (relative to the whole), else
     after ``rounds``: if the targets contradict each other the last dimension is met and the others as nearly as
-    the rounds got.  The table of cells is the product of the values that occur together, not of documents.
+    the rounds got, and a warning says by how much they were missed at the start of the last round.  The table of cells is the product of the values that occur together, not of documents.
     """
     current = cells.withColumn("weight", F.col("tokens").cast("double"))
     for dimension, target in targets.items():
@@ -59,6 +60,8 @@ def rake(
             current = store(current.select(*cells.columns, "weight"), "cells")
         if max(off) <= tolerance:
             break
+    else:
+        warnings.warn(f"targets missed by up to {max(off):.3g} after {rounds} rounds", stacklevel=2)
     return current
 
 

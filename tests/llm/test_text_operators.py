@@ -283,3 +283,11 @@ def test_sparse_sites_are_shrunk(spark):
     df = spark.createDataFrame([(h, p, z, z) for h, p, z in rows], "host string, path string, low double, toxic double")
     odds = {r.path: r.site_low for r in beliefs(df, {"low": 0.0, "toxic": 0.0}).collect()}
     assert odds["calm/a"] < odds["big/b"] < odds["tiny/a"] < odds["big/a"]
+
+
+def test_rake_tells_when_targets_are_missed(spark):
+    cells = spark.createDataFrame([("a", "x", 1.0), ("b", "y", 1.0)], "source string, lang string, tokens double")
+    sources = spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double")
+    langs = spark.createDataFrame([("x", 0.5), ("y", 0.5)], "lang string, share double")
+    with pytest.warns(UserWarning, match="targets missed"):
+        mixing.rake(cells, {"source": sources, "lang": langs}, rounds=2)
