@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import (
     byte_bpe,
+    centroids,
     chat,
     embeddings,
     exact_dedup,
     jaccard,
     mixing,
+    packing,
     quality,
+    runs,
     substrings,
     token_counts,
     token_files,
@@ -23,7 +30,10 @@ from ebbtide.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
+PACK_END_ID = 0
+PACK_SIZE = 1024
 TOKEN_LIMIT = 2048
 # Shares of sources, languages and topics in proportion to their words to these powers; 70 % of all words are kept.
 MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 0.8}
@@ -120,6 +130,51 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.summarise(chat.parse_conversations(chat.format_conversations(rows)))
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """About a tenth of the texts, told by their ids, end in a repetition of some of their words."""
+    for batch in batches:
+        texts = []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            h = zlib.crc32(str(doc).encode())
+            if doc is not None and h % 10 == 0 and (words := (text or "").encode().split()):
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                text = b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)]).decode()
+            texts.append(text)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = runs.find_runs(docs.mapInArrow(_repeated, "doc_id long, text string"))
+    # The longest; of equal ones the first, then the shortest period.
+    order = F.transform("runs", lambda r: F.struct(r.length.alias("length"), -r.start, -r.period, r.alias("run")))
+    best = F.array_max(order)["run"]
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, folder, "embeddings")).drop("centroid")
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_documents(
+        table(spark, folder, "documents"), BYTE_BPE, public_tokenizers.PATTERN, PACK_END_ID, PACK_SIZE
+    )
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -131,8 +186,47 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_chat_format": op10_chat_format,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_packing": op13_packing,
 }
 
+
+
+def _cluster_sql(clusters: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """The rounds of the clustering one after another, with vectors as rows of (vector, place, value)."""
+    parts = [
+        f"""
+f AS (
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE len(embedding) = {dim} AND list_aggregate(embedding, 'count') = {dim} AND isfinite(list_aggregate(embedding, 'sum'))),
+v AS MATERIALIZED (SELECT r, unnest(e) AS x, unnest(range({dim})) AS i FROM f),
+o AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS c FROM f),
+c0 AS MATERIALIZED (SELECT c, i, x FROM o JOIN v USING (r) WHERE c < {clusters})"""
+    ]
+    for k in range(rounds + 1):
+        parts.append(f"""
+d{k} AS (SELECT r, c, sum((v.x - c{k}.x) * (v.x - c{k}.x)) AS d FROM v JOIN c{k} USING (i) GROUP BY r, c),
+a{k} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM d{k} GROUP BY r)""")
+        if k < rounds:
+            parts.append(f"""
+s{k} AS (SELECT c, i, sum(v.x) AS s, count(*) AS n FROM a{k} JOIN v USING (r) GROUP BY c, i),
+c{k + 1} AS MATERIALIZED (
+  SELECT c, i, CASE WHEN n IS NULL THEN x ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS x
+  FROM c{k} LEFT JOIN s{k} USING (c, i))""")
+    last = rounds
+    parts.append(f"""
+h AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{last} GROUP BY c)""")
+    return f"""
+WITH {",".join(parts)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM a{last} JOIN f USING (r) JOIN h USING (c)"""
+
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -208,4 +302,5 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(chars + CASE WHEN again THEN length('</part>') ELSE length('### :' || role || '</turn>') + 2 END)
          AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id""",
+    "op12_centroid_clusters": _cluster_sql(),
 }
