@@ -20,17 +20,25 @@ def is_scored(score_col: str) -> Column:
     return F.col(score_col).isNotNull() & ~F.isnan(F.col(score_col).cast("double"))
 
 
-def _cumulative(scored: DataFrame, label_col: str, score_col: str, group: Sequence[str]) -> DataFrame:
-    """Per distinct score, from high to low: its positives and negatives, running and total counts."""
+def score_counts(scored: DataFrame, label_col: str, score_col: str, group: Sequence[str]) -> DataFrame:
+    """Positives and negatives of every distinct score, the ``threshold``."""
     y = F.col(label_col)
-    counts = (
+    return (
         scored.filter(is_scored(score_col) & F.col(label_col).isin(0, 1))
         .groupBy(*group, F.col(score_col).alias("threshold"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
+
+
+def _running(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """From high to low: running and total counts of each distinct score."""
     return running_totals(counts, [F.desc("threshold")], ["pos", "neg"], group, following=["pos", "neg"])
 
 
+def _cumulative(scored: DataFrame, label_col: str, score_col: str, group: Sequence[str]) -> DataFrame:
+    return _running(score_counts(scored, label_col, score_col, group), group)
+
+
 def roc_curve(
     scored: DataFrame,
     label_col: str = "label",
@@ -80,7 +88,12 @@ def areas(
     scored: DataFrame, label_col: str = "label", score_col: str = "score", group: Sequence[str] = ()
 ) -> DataFrame:
     """``roc_auc`` and ``pr_auc`` by trapezoids, null when only one class is present."""
-    c = _cumulative(scored, label_col, score_col, group)
+    return areas_of_counts(score_counts(scored, label_col, score_col, group), group)
+
+
+def areas_of_counts(counts: DataFrame, group: Sequence[str] = ()) -> DataFrame:
+    """The same from ``pos`` and ``neg`` of every distinct ``threshold``."""
+    c = _running(counts, group)
     before_pos, before_neg = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
     before = before_pos + before_neg
     # Twice the number of (negative, positive) pairs ordered right, ties counting half.

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators.scoring import DecisionParameters, score_customers
@@ -202,17 +202,34 @@ def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, folder: str, settings: int, **options) -> DataFrame:
-    """A search over forests with stratified cross-validation: every setting, ranked once."""
+    """A search over forests with stratified cross-validation: every setting, its trials, rows and ranks."""
     result = tuning.tune_model(
         _training_features(spark, folder), "random_forest", date_col="signup_date", exclude=LEAKING, **options
     )
-    listed = result.cv_results
+    # What the trials have counted: every searched row is kept out once, and fitted in all other folds.
+    counted = result.trials.select(F.col("setting").alias("params"), "fold", F.inline("histogram"))
+    test, rows = F.col("part") == "test", F.col("positives") + F.col("negatives")
+    held = counted.groupBy("params").agg(
+        F.countDistinct("fold").alias("folds"),
+        F.sum(F.when(test, rows)).alias("test_rows"),
+        F.sum(F.when(test, F.col("positives"))).alias("test_positives"),
+        F.sum(F.when(~test, rows)).alias("train_rows"),
+    )
     score = F.col("mean_test_score")
+    # At most as many rows as settings.
+    better = F.sum(F.lit(1)).over(Window.orderBy(score.desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow))
     return finish(
-        listed.select(
+        result.cv_results.withColumn("_better", better)
+        .join(held, "params")
+        .select(
             "params",
-            F.col("rank").between(1, settings).alias("ranked"),
+            "folds",
+            "test_rows",
+            "test_positives",
+            "train_rows",
+            (F.col("rank").between(1, settings) & (F.col("rank") <= F.col("_better"))).alias("ranked"),
             ((score > 0.0) & (score <= 1.0)).alias("score_in_range"),
+            (F.col("mean_train_score") >= score).alias("train_not_worse"),
             ((F.col("rank") > 1) | (score == F.lit(result.best_score))).alias("best_is_first"),
         )
     )
@@ -302,6 +319,17 @@ OUTCOME_COLUMNS = """split, count(*) AS total, count(*) FILTER (WHERE label = 0)
        count(*) FILTER (WHERE label = 1) AS class_1, count(*) AS n_scored, true AS from_0, true AS to_1,
        true AS better_than_chance"""
 
+
+
+def _search_sql(settings, folds: int) -> str:
+    listed = ", ".join(f"('{', '.join(f'{k}={v}' for k, v in x.items())}')" for x in settings)
+    return f"""{SCORED_SQL},
+n AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS p FROM s WHERE split <> 'test')
+SELECT params, CAST({folds} AS BIGINT) AS folds, n AS test_rows, p AS test_positives, {folds - 1} * n AS train_rows,
+       true AS ranked, true AS score_in_range, true AS train_not_worse, true AS best_is_first
+FROM n, (VALUES {listed}) AS v(params)"""
+
+
 SQL = {
     "staged_customers": f"""WITH {CUSTOMERS_SQL}
 SELECT customer_id, country, plan_type, {rounded("monthly_revenue", "monthly_revenue")},
@@ -320,15 +348,8 @@ SELECT {OUTCOME_COLUMNS}, true AS gradient_vanishes FROM s GROUP BY split""",
     "train_boosting": f"{SCORED_SQL} SELECT {OUTCOME_COLUMNS} FROM s GROUP BY split",
     "feature_importance": f"""SELECT CAST({32 - len(LEAKING)} AS BIGINT) AS n_numeric, true AS sum_to_one,
        true AS none_negative, true AS names_differ""",
-    "tune": "SELECT params, true AS ranked, true AS score_in_range, true AS best_is_first FROM (VALUES "
-    + ", ".join(f"('{', '.join(f'{k}={v}' for k, v in x.items())}')" for x in tuning.sample_settings(GRID, SEARCHED))
-    + ") AS v(params)",
-    "tune_full_space": "SELECT params, true AS ranked, true AS score_in_range, true AS best_is_first FROM (VALUES "
-    + ", ".join(
-        f"('{', '.join(f'{k}={v}' for k, v in x.items())}')"
-        for x in tuning.sample_settings(tuning.get_param_grid("random_forest"), FULL_SEARCH)
-    )
-    + ") AS v(params)",
+    "tune": _search_sql(tuning.sample_settings(GRID, SEARCHED), 3),
+    "tune_full_space": _search_sql(tuning.sample_settings(tuning.get_param_grid("random_forest"), FULL_SEARCH), 5),
     "full_run": f"""{SCORED_SQL},
 n AS (SELECT count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'validation') AS validation,
              count(*) FILTER (WHERE split = 'test') AS test FROM s)
