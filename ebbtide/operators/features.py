@@ -101,9 +101,14 @@ def _amount(value: Column, unit: float) -> Column:
 
 def event_activity(events: DataFrame, window: ObservationWindow, partition_column: str | None = None) -> DataFrame:
     """Activity relation with one row per event of the window; a missing value counts as 0."""
+    return log_activity(window_events(events, window, partition_column))
+
+
+def log_activity(events: DataFrame) -> DataFrame:
+    """The same for all events of the log."""
     value = _minor_units(events)
     hour = F.hour("event_timestamp")
-    return window_events(events, window, partition_column).select(
+    return events.select(
         "customer_id",
         F.to_date("event_timestamp").alias("event_date"),
         "event_type",
@@ -407,6 +412,19 @@ def compute_features(
     ``carry`` names columns of ``customers`` to add at the end, such as the date to split by.
     """
     activity = event_activity(events, window, partition_column)
+    return features_of_activity(customers, activity, window, event_types, valued_types, require_signup, carry)
+
+
+def features_of_activity(
+    customers: DataFrame,
+    activity: DataFrame,
+    window: ObservationWindow,
+    event_types: Sequence[str] = EVENT_TYPES,
+    valued_types: Sequence[str] = VALUED_TYPES,
+    require_signup: bool = False,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """The feature table from an activity relation that holds the days of the window, at any grain."""
     rollup = customer_rollup(activity, window, event_types, valued_types)
     profiles = customers.select(
         "customer_id",

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.operators import features as ft
+from ebbtide.plans.daily_state import DailyState, type_sketches
+from ebbtide.plans.daily_state import estimated_types as type_estimates
 from ebbtide.queries.common import (
     ACTIVITY_LOG_SQL,
     ACTIVITY_TYPES,
@@ -18,6 +20,7 @@ from ebbtide.queries.common import (
     ORDER_WINDOW,
     activity,
     activity_features,
+    activity_log,
     age,
     customers,
     day,
@@ -29,6 +32,7 @@ from ebbtide.queries.common import (
     whole,
     window_sql,
 )
+from ebbtide.session import scratch_path
 
 W = ACTIVITY_WINDOW
 BASE_SQL = f"WITH {ACTIVITY_LOG_SQL}, {window_sql(W)}"
@@ -161,6 +165,47 @@ def order_feature_table(spark: SparkSession, folder: str) -> DataFrame:
     return finish(order_features(spark, folder))
 
 
+def _daily_state(spark: SparkSession, folder: str) -> DailyState:
+    """The log added in two halves that share all days: first the mornings, then what came late, which is sent twice."""
+    log = activity_log(spark, folder)
+    state, late = DailyState(spark, scratch_path(spark, "daily-state")), F.hour("event_timestamp") >= 12
+    state.add(log.filter(~late), "mornings")
+    for _ in range(2):
+        state.add(log.filter(late), "late")
+    return state
+
+
+def incremental_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature table from the daily state instead of the log."""
+    state = _daily_state(spark, folder)
+    return finish(state.snapshot(customers(spark, folder), W, ACTIVITY_TYPES, ("purchase",)))
+
+
+def compacted_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The state of the month before the observation date, merged to one row per customer, day and type."""
+    state = _daily_state(spark, folder).compact(scratch_path(spark, "compacted"), before=W.end)
+    return finish(
+        state.read(start=W.start).select(
+            "customer_id", "event_date", "event_type", "events", (F.col("value") / 100).alias("value"), "peak_events"
+        )
+    )
+
+
+def estimated_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct types by merged sketches, with very many types; how far the estimate may be off is part of the result."""
+    odd = _with_odd_types(activity_log(spark, folder).withColumn("event_date", F.to_date("event_timestamp")))
+    # Every event of the customers with types of their own is a type of its own.
+    kind = F.when(F.col("customer_id") % 7 == 1, F.concat_ws(" ", "event_type", "event_id")).otherwise(F.col("event_type"))
+    sketches = scratch_path(spark, "sketches")
+    type_sketches(odd.withColumn("event_type", kind)).write.parquet(sketches)
+    found = type_estimates(spark.read.parquet(sketches), W)
+    exact = ft.distinct_types(ft.event_activity(odd.withColumn("event_type", kind), W))
+    off = F.abs(F.col("estimated_event_types") - F.col("unique_event_types"))
+    joined = found.join(exact, "customer_id")
+    close = off <= F.greatest(F.lit(1.0), F.col("unique_event_types") * 0.08)
+    return finish(joined.select("customer_id", "unique_event_types", close.alias("close")))
+
+
 def features_cte(log: str, window: ft.ObservationWindow, types: Sequence[str], valued: Sequence[str]) -> str:
     """CTEs ending in ``ft``, the feature table with rounded columns."""
     columns = rfm_columns(window) + rolling_columns(window) + PATTERN_COLUMNS + type_columns(window, types, valued)
@@ -197,6 +242,9 @@ QUERIES = {
     "customer_tenure": customer_tenure,
     "feature_table": feature_table,
     "order_feature_table": order_feature_table,
+    "incremental_features": incremental_features,
+    "compacted_state": compacted_state,
+    "estimated_types": estimated_types,
 }
 
 SQL = {
@@ -227,4 +275,14 @@ SELECT customer_id, country, plan_type, CAST(label AS BIGINT) AS label FROM cu J
 SELECT customer_id, {whole(age(ORDER_WINDOW, "signup_date"), "customer_age_days")} FROM cu""",
     "feature_table": f"{ACTIVITY_FEATURES_SQL} SELECT * FROM ft",
     "order_feature_table": f"{ORDER_FEATURES_SQL} SELECT * FROM ft",
+    "incremental_features": f"{ACTIVITY_FEATURES_SQL} SELECT * FROM ft",
+    "compacted_state": f"""{BASE_SQL}
+SELECT customer_id, CAST(d AS VARCHAR) AS event_date, event_type, count(*) AS events, {rounded("sum(v)", "value")},
+       count(*) FILTER (WHERE h BETWEEN 9 AND 17) AS peak_events
+FROM w GROUP BY customer_id, d, event_type""",
+    "estimated_types": f"""WITH {ACTIVITY_LOG_SQL}
+SELECT customer_id, count(DISTINCT CASE WHEN customer_id % 7 = 0 THEN NULL
+         WHEN customer_id % 7 = 1 THEN 'only for ' || customer_id || ' ' || event_id ELSE event_type END)
+         AS unique_event_types, true AS close
+FROM ev WHERE event_timestamp >= {day(W.start)} AND event_timestamp < {day(W.end)} GROUP BY customer_id""",
 }
