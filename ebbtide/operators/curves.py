@@ -30,13 +30,14 @@ def score_counts(scored: DataFrame, label_col: str, score_col: str, group: Seque
     )
 
 
-def _running(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+def _running(counts: DataFrame, group: Sequence[str], like: tuple[DataFrame, str] | None = None) -> DataFrame:
     """From high to low: running and total counts of each distinct score."""
-    return running_totals(counts, [F.desc("threshold")], ["pos", "neg"], group, following=["pos", "neg"])
+    return running_totals(counts, "threshold", ["pos", "neg"], group, following=["pos", "neg"], like=like)
 
 
 def _cumulative(scored: DataFrame, label_col: str, score_col: str, group: Sequence[str]) -> DataFrame:
-    return _running(score_counts(scored, label_col, score_col, group), group)
+    scores = scored.filter(is_scored(score_col))
+    return _running(score_counts(scored, label_col, score_col, group), group, like=(scores, score_col))
 
 
 def roc_curve(
@@ -88,12 +89,15 @@ def areas(
     scored: DataFrame, label_col: str = "label", score_col: str = "score", group: Sequence[str] = ()
 ) -> DataFrame:
     """``roc_auc`` and ``pr_auc`` by trapezoids, null when only one class is present."""
-    return areas_of_counts(score_counts(scored, label_col, score_col, group), group)
+    return _areas(_cumulative(scored, label_col, score_col, group), group)
 
 
 def areas_of_counts(counts: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     """The same from ``pos`` and ``neg`` of every distinct ``threshold``."""
-    c = _running(counts, group)
+    return _areas(_running(counts, group), group)
+
+
+def _areas(c: DataFrame, group: Sequence[str]) -> DataFrame:
     before_pos, before_neg = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
     before = before_pos + before_neg
     # Twice the number of (negative, positive) pairs ordered right, ties counting half.

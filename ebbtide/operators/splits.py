@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators.ranking import rank_rows
+from ebbtide.operators.selection import keys_at_ranks, literal, sortable
 
 SPLITS = ("train", "validation", "test")
 
 
 def _order_key(df: DataFrame, date_col: str | None, id_col: str) -> Column:
     """Total order as one comparable struct: missing dates last, ties by id."""
-    parts = [F.col(id_col)]
+    parts = [sortable(df, id_col)]
     if date_col and date_col in df.columns:
-        parts = [F.col(date_col).isNull(), F.col(date_col), *parts]
+        parts = [F.col(date_col).isNull(), sortable(df, date_col), *parts]
     return F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
 
@@ -30,26 +32,28 @@ def temporal_split(
 ) -> DataFrame:
     """Add ``split``: the first share of rows in time order is train, the next validation, the rest test.
 
-    Rows are ordered by ``date_col`` and ``id_col`` (only ``id_col`` without a date column).  Only
-    these two columns are ranked; the wide rows are then labelled by comparison with the two
-    boundary keys, without a shuffle.
+    Rows are ordered by ``date_col`` and ``id_col`` (only ``id_col`` without a date column).  The two boundary keys are
+    selected from these columns, which are cached meanwhile; no row is sorted or moved, and the wide rows are labelled by
+    comparison.  ``df`` is read for that when this is called.
     """
     if abs(train_pct + valid_pct + test_pct - 1.0) > 1e-6:
         raise ValueError("train, validation and test shares must sum to 1")
     key = _order_key(df, date_col, id_col)
-    ranked = rank_rows(df.select(key.alias("key")), [F.asc("key")])
-    # Truncation in double arithmetic, as for any float share.
-    rows = F.col("group_rows").cast("double")
-    n_train = F.floor(rows * F.lit(float(train_pct)))
-    n_valid = F.floor(rows * F.lit(float(valid_pct)))
-    last_train = F.when(F.col("rank") == n_train, F.col("key"))
-    last_valid = F.when(F.col("rank") == n_train + n_valid, F.col("key"))
-    bounds = ranked.agg(F.max(last_train).alias("train"), F.max(last_valid).alias("validation"))
-    # One row by construction (a global aggregate), read as a scalar subquery.
-    bound = bounds.select(F.struct("train", "validation")).scalar()
+    keys = df.select(key.alias("key")).persist()
+
+    def ranks(rows: int) -> list[int]:
+        # Truncation in double arithmetic, as for any float share.
+        n_train = math.floor(rows * float(train_pct))
+        return [n_train, n_train + math.floor(rows * float(valid_pct))]
+
+    _, bounds = keys_at_ranks(keys, ranks)
+    kind = keys.schema["key"].dataType
+    keys.unpersist()
+    # Without a key nothing comes before the bound.
+    last_train, last_valid = (None if b is None else literal(b, kind) for b in bounds)
     split = (
-        F.when(key <= bound.getField("train"), F.lit(SPLITS[0]))
-        .when(key <= bound.getField("validation"), F.lit(SPLITS[1]))
+        F.when(F.lit(False) if last_train is None else key <= last_train, F.lit(SPLITS[0]))
+        .when(F.lit(False) if last_valid is None else key <= last_valid, F.lit(SPLITS[1]))
         .otherwise(F.lit(SPLITS[2]))
     )
     return df.withColumn("split", split)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions import confusion
 from ebbtide.functions.expressions import safe_ratio
 from ebbtide.operators.curves import is_scored
-from ebbtide.operators.ranking import rank_rows
+from ebbtide.operators.selection import keys_at_ranks, literal, sortable
 
 # Error costs, grid size and target shares in percent.
 COST_FP = 1.0
@@ -162,17 +163,21 @@ def top_k_targeting(
     id_col: str = "customer_id",
 ) -> DataFrame:
     """Outcome of targeting the k percent highest scores; ties go to the lower id, rows without a score are left out."""
-    ranked = rank_rows(
-        scored.filter(is_scored(score_col)).select(F.col(score_col).alias("_score"), F.col(id_col).alias("_id"), F.col(label_col).alias("_y")),
-        [F.desc_nulls_last("_score"), F.asc("_id")],
-    )
-    size = F.col("group_rows").cast("double")
+    score = F.col(score_col)
+    key = F.struct((-score).alias("k0"), sortable(scored, id_col).alias("k1"))
+    narrow = scored.filter(is_scored(score_col)).select(key.alias("key"), F.col(label_col).alias("_y")).persist()
+    # Boundary keys instead of ranks of all rows.
+    keys = narrow.select("key")
+    total, bounds = keys_at_ranks(keys, lambda n: [math.floor(float(n) * (k / 100.0)) for k in k_values])
+    kind = keys.schema["key"].dataType
     positive = F.col("_y") == 1
-    aggregates = [F.max("group_rows").alias("n"), F.count_if(positive).alias("pos")]
-    for i, k in enumerate(k_values):
-        inside = F.col("rank") <= F.floor(size * F.lit(k / 100.0))
+    aggregates = [F.lit(total).cast("bigint").alias("n"), F.count_if(positive).alias("pos")]
+    for i, bound in enumerate(bounds):
+        inside = F.lit(False) if bound is None else F.col("key") <= literal(bound, kind)
         aggregates += [F.count_if(inside & positive).alias(f"tp{i}"), F.count_if(inside & ~positive).alias(f"fp{i}")]
-    one = ranked.agg(*aggregates)
+    counts = narrow.agg(*aggregates)
+    one = scored.sparkSession.createDataFrame([counts.first()], counts.schema)
+    narrow.unpersist()
     rows = [
         F.struct(
             F.lit(k).cast("bigint").alias("k_percent"),

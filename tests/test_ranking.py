@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.operators.quantiles import exact_median, exact_quantiles
@@ -32,16 +33,36 @@ def test_rank_of_an_empty_frame(spark):
     assert rank_rows(spark.range(0), [F.asc("id")]).count() == 0
 
 
-def test_running_totals_and_following_rows(spark):
-    df = skewed(spark).withColumn("v", F.col("id") % 11)
-    rows = running_totals(df, [F.asc("key"), F.asc("id")], ["v"], ["grp"], following=["id"]).toPandas()
-    for _, part in rows.sort_values(["key", "id"]).groupby("grp"):
+@pytest.mark.parametrize("ascending", [True, False])
+@pytest.mark.parametrize("like", [None, "flat"])
+def test_running_totals_and_following_rows(spark, ascending, like):
+    df = skewed(spark).withColumn("v", F.col("id") % 11).withColumn("x", F.col("id") / 7 - 100)
+    # Ranges that fit badly, here all rows in one, change nothing.
+    of = (spark.range(3).select(F.lit(1e9).alias("z")), "z") if like else None
+    rows = running_totals(df, "x", ["v"], ["grp"], following=["id"], like=of, ascending=ascending).toPandas()
+    assert len(rows) == 20_000
+    for _, part in rows.sort_values("x", ascending=ascending).groupby("grp"):
         assert (part["v"].cumsum() == part["cum_v"]).all()
         assert (part["all_v"] == part["v"].sum()).all()
         following = part["id"].shift(-1)
         assert following.equals(part["next_id"].astype(following.dtype))
 
 
+def test_running_totals_of_odd_numbers_and_no_rows(spark):
+    df = spark.createDataFrame([(float("inf"), 1), (float("-inf"), 2), (0.0, 4)], "x double, v long")
+    got = {r.x: (r.cum_v, r.all_v) for r in running_totals(df, "x", ["v"]).collect()}
+    assert got == {float("inf"): (1, 7), 0.0: (5, 7), float("-inf"): (7, 7)}
+    assert running_totals(df.where("v > 9"), "x", ["v"]).count() == 0
+
+
+def test_running_totals_move_rows_once(spark, capsys):
+    scored = skewed(spark).select((F.col("id") / 20_000).alias("score"), (F.col("id") % 2).alias("label"))
+    running_totals(scored, "score", ["label"]).explain("formatted")
+    plan = capsys.readouterr().out.split("(1)")[0]
+    # One for the rows, and those of the totals, which are a row per range.
+    assert "Sort" in plan and plan.count("rangepartitioning") == 0
+
+
 def test_sorted_rows_are_spread_over_partitions(spark):
     """The rows of one hot key do not end up in one partition."""
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
