@@ -22,8 +22,10 @@ windows into the region makes the regions independent: each is joined on its own
   documents are compared with a few document pivots, go to the region of the nearest one and to those within
   ``2 eps``, and are cut into rings of width ``eps`` around it, copied into the next ring.  Documents within ``eps`` of
   the pivot are linked with it and so with each other, and need no more comparisons among themselves: a ring whose
-  documents (with those of the rings beside it) are all connected already is dropped.  A level that does not halve the
-  rows is the last: the regions are cut into blocks, and a join of rows compares each block with its region.
+  documents (with those of the rings beside it) are all connected already is dropped.
+* A level that does not halve the rows is the last.  Any set may be a pivot, also one that no document has: the shingles
+  that most documents of a region hold.  Seen from there documents are short lists of differences, and their lengths and
+  the first ones that two lists share say which pairs can be near (see ``templates``).
 
 Links are decided with whole numbers from whole sets.  Sets are compared by 64-bit hashes of shingles and documents
 with equal sets stand as one node, named by a 64-bit number; should two 128-bit digests of sets get one number, all are
@@ -51,8 +53,6 @@ PIVOTS = 2
 SHARED = 4
 # A region of at most so many documents is compared pair by pair where components differ, in one row.
 SMALL_REGION = 64
-# Documents of a region that pivots do not part which one key of a join holds; they meet all others of the region.
-BLOCK = 4096
 MEMBERS = (
     "doc_id long, order long, text_key long, n_shingles int, own int, node long, digest binary, "
     "rare array<long>, frequent array<long>"
@@ -296,18 +296,68 @@ class _Join:
         large = store(large.select("region", "node", "n", "own", "label"), "large")
         return None if large.isEmpty() else large
 
-    def blocks(self, regions: DataFrame) -> None:
-        """Compares the documents of ``regions`` (region, node, n, own, label) by rows, however large a region is."""
-        sizes = store(regions.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
-        dealt = regions.join(sizes, "region")
-        member = F.struct("node", "n", "own", "label")
-        left = dealt.select("region", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), member.alias("p"))
-        right = dealt.select("region", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), member.alias("q"))
-        p, q = F.col("p"), F.col("q")
-        pairs = left.join(right, ["region", "block"]).where(
-            (p["node"] < q["node"]) & (p["label"] != q["label"]) & _may_be_near(p, q, self.percent)
+    def templates(self, regions: DataFrame) -> None:
+        """Links and compares the documents of ``regions`` that pivots do not part, however many they are.
+
+        The pivot is the majority set of a region, the shingles that more than half of its documents hold.  A document
+        becomes its difference d from that set, lost and gained shingles alike, so two documents differ in
+        ``|d(x)| + |d(y)| - 2 |d(x) and d(y)|`` shingles, and are near when that is at most c (n + m) for the c of
+        ``percent``.  With e = |d| - c n: if e(x) + e(y) <= 0 they are near for certain, and then both are near the document
+        with the smallest e, so one link a document is enough.  All other near pairs share at least (e(x) + e(y)) / 2
+        elements of d.  In a common order, rare ones first, the first element they share must leave that many to both.
+        No element of d stands in more than half of the documents.
+        """
+        plus, minus = 100 + self.percent, 100 - self.percent
+        held = regions.select("region", "node").join(self.sets, "node")
+        held = store(held.select("region", "node", "shingles"), "template-sets")
+        members = held.groupBy("region").agg(F.count(F.lit(1)).alias("members"))
+        counts = held.select("region", F.explode("shingles").alias("shingle")).groupBy("region", "shingle")
+        counts = counts.agg(F.count(F.lit(1)).alias("count")).join(members, "region")
+        counts = store(counts.where("count > 1 AND count < members OR 2 * count > members"), "template-counts")
+        major = F.col("count") * 2 > F.col("members")
+        common = counts.where(major).groupBy("region").agg(F.collect_list("shingle").alias("common"))
+        lost, gained = F.array_except("common", "shingles"), F.array_except("shingles", "common")
+        apart = held.join(store(common, "templates"), "region", "left").withColumn(
+            "common", F.coalesce("common", F.array().cast("array<long>"))
+        )
+        apart = apart.select("region", "node", F.size("shingles").alias("n"), F.concat(lost, gained).alias("d"))
+        excess = plus * F.size("d").cast("long") - minus * F.col("n").cast("long")
+        apart = store(apart.withColumn("e", excess), "differences")
+        best = apart.groupBy("region").agg(F.min(F.struct("e", "node")).alias("best"))
+        best = store(best.select("region", F.col("best.e").alias("least"), F.col("best.node").alias("head")), "heads")
+        reached = apart.select("region", "node", "e").join(best, "region")
+        self.links.append(
+            store(
+                reached.where("e + least <= 0 AND node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")),
+                "certain",
+            )
+        )
+        labels = self.labels()
+        # How many documents have the element in their d; one that only one has is never shared.
+        held_by = F.when(major, F.col("members") - F.col("count")).otherwise(F.col("count"))
+        shared_by = counts.select("region", "shingle", held_by.alias("f")).where("f > 1")
+        listed = apart.select("region", "node", "n", "e", F.size("d").alias("size"), F.explode("d").alias("shingle"))
+        shared = listed.join(shared_by, ["region", "shingle"]).groupBy("region", "node").agg(
+            *(F.first(c).alias(c) for c in ("n", "e", "size")),
+            F.sort_array(F.collect_list(F.struct("f", "shingle"))).alias("shared"),
+        )
+        placed = shared.select("region", "node", "n", "e", F.size("shared").alias("m"), F.posexplode("shared").alias("i", "s"))
+        # Elements that only one document has come first, so what is left from here on is m - i.
+        placed = placed.select("region", "s.shingle", "node", "n", "e", (F.col("m") - F.col("i")).alias("rest"))
+        placed = placed.join(best.select("region", "least"), "region").where(F.col("e") + F.col("least") <= 2 * plus * F.col("rest"))
+        placed = store(self.labelled(placed.drop("least"), labels), "elements")
+        spans = placed.groupBy("region", "shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        open_ = store(spans.where("low <> high").select("region", "shingle"), "open-elements")
+        placed = placed.join(open_, ["region", "shingle"], "left_semi")
+        p, q = placed.alias("p"), placed.alias("q")
+        met = p.join(q, ["region", "shingle"]).where(
+            (F.col("p.node") < F.col("q.node"))
+            & (F.col("p.label") != F.col("q.label"))
+            & (100 * F.least("p.n", "q.n") >= self.percent * F.greatest("p.n", "q.n"))
+            & (F.col("p.e") + F.col("q.e") <= 2 * plus * F.least("p.rest", "q.rest"))
         )
-        self.measure(pairs.select(p["node"].alias("a"), q["node"].alias("b")).distinct(), "block-pairs")
+        pairs = met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+        self.measure(store(pairs, "template-pairs"), "template-distances")
 
     def level(self, regions: DataFrame, level: int) -> DataFrame | None:
         """One level over ``regions`` (region, node, n, own), a row per document and region; the rows of the next level."""
@@ -439,7 +489,7 @@ def near_duplicates(
     while regions is not None:
         deeper = run.level(regions, level)
         if deeper is not None and 2 * deeper.count() > regions.count():
-            run.blocks(deeper)
+            run.templates(deeper)
             deeper = None
         level, regions = level + 1, deeper
     labels = run.labels()

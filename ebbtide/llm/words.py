@@ -6,9 +6,9 @@ offsets, so a batch costs a few numpy passes and no loop over words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,7 @@ SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 # Odd numbers, so that they have an inverse modulo 2^64.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 PIECE_BYTES = 1 << 20
+LONG_WORD = 256
 
 
 def flat(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,23 +95,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, inverse: bool, n: int) -> np.ndarray:
-    number = pow(base, -1, 1 << 64) if inverse else base
-    out = np.full(n, U64(number))
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(out)
-
-
 def word_hashes(words: Words, base: int = BASES[0]) -> np.ndarray:
-    """64-bit hash of each word's bytes: a difference of prefix sums, shifted back to the word's start."""
-    n = 1 << (max(len(words.data), PIECE_BYTES, 2) - 1).bit_length()
+    """64-bit hash of each word's bytes, eight at a time with a nonlinear step after each; long words by BLAKE2b."""
+    lengths = words.ends - words.starts
+    out = np.full(len(lengths), U64(base))
+    if not len(lengths):
+        return out
+    padded = np.r_[words.data, np.zeros(8, np.uint8)]
+    # The eight bytes from every position on.
+    lanes = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    long = np.flatnonzero(lengths > LONG_WORD)
+    live = np.arange(len(lengths)) if not len(long) else np.flatnonzero(lengths <= LONG_WORD)
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(words.data) + 1, U64)
-        np.cumsum((words.data.astype(U64) + U64(1)) * _powers(base, False, n)[: len(words.data)], out=sums[1:])
-        raw = (sums[words.ends] - sums[words.starts]) * _powers(base, True, n)[words.starts]
-        return mix(raw + (words.ends - words.starts).astype(U64) * U64(BASES[1]))
+        done = 0
+        while len(live):
+            rest = lengths[live] - done
+            lane = lanes[words.starts[live] + done].astype(U64)
+            lane &= ~U64(0) >> (U64(8) * (8 - np.minimum(rest, 8)).astype(U64))
+            out[live] = mix(out[live] * U64(BASES[1]) + lane)
+            done += 8
+            live = live[rest > 8]
+        key = base.to_bytes(8, "little")
+        for i in long.tolist():
+            raw = words.data[words.starts[i] : words.ends[i]].tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(raw, digest_size=8, key=key).digest(), "little")
+        # Words that end in zero bytes differ in their lengths.
+        return mix(out + lengths.astype(U64) * U64(BASES[1]))
 
 
 def window_hashes(hashes: np.ndarray, size: int, base: int = BASES[1]) -> np.ndarray:

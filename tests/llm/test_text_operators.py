@@ -78,27 +78,49 @@ def template(spark):
     return rows, spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("block", [2, 4096])
-def test_regions_that_pivots_do_not_part(template, monkeypatch, block):
-    rows, docs = template
-    sizes, cut = [], []
-    apart, blocks = jaccard._Join.apart, jaccard._Join.blocks
-    monkeypatch.setattr(jaccard, "SMALL_REGION", 3)
-    monkeypatch.setattr(jaccard, "BLOCK", block, raising=False)
+def forced_to_templates(monkeypatch):
+    """Small regions, so that groups of near copies reach the last step; notes the sizes of compared regions and pairs."""
+    sizes, pairs = [], {}
+    apart, measure = jaccard._Join.apart, jaccard._Join.measure
 
     def sized(self, regions):
         sizes.extend(r["count"] for r in regions.groupBy("region").count().collect())
         return apart(self, regions)
 
-    def counted(self, regions):
-        cut.append(1)
-        return blocks(self, regions)
+    def named(self, found, name):
+        pairs[name] = pairs.get(name, 0) + found.count()
+        return measure(self, found, name)
 
+    monkeypatch.setattr(jaccard, "SMALL_REGION", 3)
     monkeypatch.setattr(jaccard._Join, "apart", sized)
-    monkeypatch.setattr(jaccard._Join, "blocks", counted)
+    monkeypatch.setattr(jaccard._Join, "measure", named)
+    return sizes, pairs
+
+
+def test_regions_that_pivots_do_not_part(template, monkeypatch):
+    rows, docs = template
+    sizes, pairs = forced_to_templates(monkeypatch)
     got = jaccard.near_duplicates(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
     assert sorted_rows(got) == brute.components(rows, 3, 90)
-    assert cut and max(sizes) <= 3
+    assert "template-distances" in pairs and max(sizes) <= 3
+
+
+@pytest.mark.parametrize("n, edits, own", [(200, (1, 2, 3, 4), 30), (1500, (2, 3), 10**9), (600, (2, 2, 3), 40)])
+def test_groups_of_near_copies_cost_pairs_in_proportion(spark, monkeypatch, n, edits, own):
+    rnd = random.Random(n)
+    base = [f"t{i}" for i in range(100)]
+    rows = []
+    for doc in range(n):
+        text = list(base)
+        for i in rnd.sample(range(100), rnd.choice(edits)):
+            text[i] = f"e{rnd.randrange(own)}"
+        if rnd.random() < 0.2:
+            text = text[: -rnd.randrange(1, 12)]
+        rows.append((doc, " ".join(text)))
+    _, pairs = forced_to_templates(monkeypatch)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3), 3, 90)
+    assert sorted_rows(got.select("doc_id", "n_shingles", "component_id")) == brute.components(rows, 3, 90)
+    assert pairs.get("template-distances", 0) <= 10 * n
 
 
 def test_a_full_sketch_leaves_the_order_to_exact_counts(spark, monkeypatch):
@@ -136,6 +158,40 @@ def test_a_full_sketch_leaves_the_order_to_exact_counts(spark, monkeypatch):
     assert sum(pairs for _, pairs in measured) <= 10
 
 
+def swapped(depth=10):
+    """Two different words of 1,024 letters that polynomials modulo 2^64 cannot tell apart."""
+    a, b = "a", "b"
+    for _ in range(depth):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_that_differ_in_a_doubling_pattern_are_different(spark):
+    a, b = swapped()
+    assert len(a) == 1024 and a != b
+    rest = " ".join(f"c{i}" for i in range(12))
+    rows = [(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, f"{a * 4} {rest} {a[:1024]}"), (4, a), (5, b)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted_rows(substrings.remove_repeats(df)) == brute.without_repeats(rows)
+    got = jaccard.near_duplicates(df, 3, 90).select("doc_id", "n_shingles", "component_id")
+    assert sorted_rows(got) == brute.components(rows, 3, 90)
+
+
+def test_word_hashes_follow_the_words():
+    rnd = random.Random(1)
+    pool = ["".join(rnd.choice("ab") for _ in range(n)) for n in (1, 7, 8, 9, 15, 16, 17, 255, 256, 257, 300) for _ in range(3)]
+    texts = [" ".join(rnd.choice(pool) for _ in range(40)) for _ in range(30)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.r_[0, np.cumsum([len(t) for t in texts])]
+    split = words.split_words(data, offsets)
+    for base in words.BASES:
+        hashes = words.word_hashes(split, base).tolist()
+        found = {}
+        for word, h in zip([w for t in texts for w in t.split()], hashes):
+            assert found.setdefault(word, h) == h
+        assert len(set(found.values())) == len(found)
+
+
 def test_one_of_each_component_is_kept(docs):
     found = jaccard.near_duplicates(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), 5, 80)
     kept = found.where("kept").collect()
