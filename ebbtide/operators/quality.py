@@ -21,7 +21,6 @@ MAX_TOP_SHARE = 0.9
 MAX_PAIR_CORRELATION = 0.95
 LISTED_KEYS = 10
 # Pairs of columns summed in one pass.
-PAIRS_AT_ONCE = 200
 
 FINDINGS = T.StructType(
     [
@@ -368,26 +367,74 @@ def constant_features(df: DataFrame, max_share: float = MAX_TOP_SHARE, exclude:
     return found.filter(F.col("top_share") > max_share)
 
 
-def correlated_features(
-    df: DataFrame, max_correlation: float = MAX_PAIR_CORRELATION, columns: Sequence[str] | None = None
-) -> DataFrame:
-    """Pairs of numeric columns above the limit; the later column of a pair is the one to drop.
+def pair_correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``kept, dropped, n_rows, correlation`` of every pair of numeric columns in their order.
+
+    A missing value leaves its row out for the pairs of its column only; infinite values count as missing.  A pair without
+    variance in one of its columns (as far as doubles can tell) has a null correlation.
 
-    A missing value leaves its row out for the pairs of its column only; infinite values count as missing.  Pairs are
-    summed in blocks of ``PAIRS_AT_ONCE``, each one pass with partial sums, and only columns x columns numbers reach the
-    driver.
+    Two scans whatever the number of columns: one for the means, one in which every task multiplies blocks of centred rows
+    and of their masks to the sums of all pairs.  Pairs are then added up and judged on executors.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
+    if len(columns) < 2:
+        return df.sparkSession.createDataFrame([], "kept string, dropped string, n_rows long, correlation double")
     values = df.select(*[_finite(present_double(df, c)).alias(f"c{i}") for i, c in enumerate(columns)])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    if len(pairs) > PAIRS_AT_ONCE:
-        values = materialise(values)
-    found = []
-    for start in range(0, len(pairs), PAIRS_AT_ONCE):
-        block = pairs[start : start + PAIRS_AT_ONCE]
-        row = values.agg(*[correlation(F.col(f"c{i}"), F.col(f"c{j}")).alias(f"r{i}_{j}") for i, j in block]).first()
-        found += [(columns[i], columns[j], r) for (i, j), r in zip(block, row) if r is not None and abs(r) > max_correlation]
-    return df.sparkSession.createDataFrame(found, "kept string, dropped string, correlation double")
+    # One number per column.
+    means = [m or 0.0 for m in values.agg(*[F.avg(f"c{i}") for i in range(len(columns))]).first()]
+
+    def pair_sums(batches):
+        # Local, so that it travels with the plan and executors need only numpy and Arrow.
+        import numpy as np
+        import pyarrow as pa
+
+        centre, size = np.array(means), len(means)
+        total = np.zeros((4, size, size))
+        for batch in batches:
+            rows = np.stack([c.cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False) for c in batch.columns], 1)
+            there = ~np.isnan(rows)
+            mask, x = there.astype(float), np.where(there, rows - centre, 0.0)
+            total[0] += mask.T @ mask
+            total[1] += x.T @ mask
+            total[2] += (x * x).T @ mask
+            total[3] += x.T @ x
+        i, j = np.triu_indices(size, 1)
+        sums = [total[0][i, j], total[1][i, j], total[1][j, i], total[2][i, j], total[2][j, i], total[3][i, j]]
+        names = ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"]
+        kinds = [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *map(pa.array, sums)]
+        yield pa.RecordBatch.from_arrays(kinds, names)
+
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    sums = values.mapInArrow(pair_sums, schema).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
+    )
+    n = F.col("n")
+    names, centres = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(float(m)) for m in means])
+
+    def variance(s: str, ss: str, at: str):
+        found = F.col(ss) - F.try_divide(F.col(s) * F.col(s), n)
+        # What rounding leaves of a column without variance.
+        noise = F.greatest(F.col(ss) * 1e-13, n * F.pow(F.get(centres, F.col(at)) * 1e-14, F.lit(2)))
+        return F.when(found > noise, found)
+
+    r = (F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)) / F.sqrt(
+        variance("sx", "sxx", "i") * variance("sy", "syy", "j")
+    )
+    return sums.select(
+        F.get(names, F.col("i")).alias("kept"),
+        F.get(names, F.col("j")).alias("dropped"),
+        n.cast("long").alias("n_rows"),
+        # Rounding leads a little beyond 1; the bounds alone would pass over a null.
+        F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("correlation"),
+    )
+
+
+def correlated_features(
+    df: DataFrame, max_correlation: float = MAX_PAIR_CORRELATION, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Pairs of numeric columns above the limit; the later column of a pair is the one to drop."""
+    pairs = pair_correlations(df, columns)
+    return pairs.where(F.abs("correlation") > max_correlation).select("kept", "dropped", "correlation")
 
 
 def select_features(

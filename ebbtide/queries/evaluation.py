@@ -48,6 +48,16 @@ def stratified_folds(spark: SparkSession, folder: str) -> DataFrame:
     return finish(splits.stratified_folds(scored_labels(spark, folder), 5))
 
 
+def target_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    """Country and plan as the mean labels of the other folds; some plans are missing."""
+    labels = scored_labels(spark, folder).select("customer_id", "label")
+    folds = splits.stratified_folds(labels, 5).select("customer_id", "fold")
+    plan = F.when(F.col("customer_id") % 9 > 0, F.col("plan_type")).alias("plan_type")
+    known = customers(spark, folder).select("customer_id", "country", plan)
+    rows = materialise(labels.join(folds, "customer_id").join(known, "customer_id"))
+    return finish(preparation.out_of_fold_means(rows, ["country", "plan_type"], smoothing=20.0))
+
+
 def class_weights(spark: SparkSession, folder: str) -> DataFrame:
     return finish(preparation.class_weights(scored_labels(spark, folder)))
 
@@ -255,6 +265,7 @@ def inactive_customers(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "temporal_split": temporal_split,
     "stratified_folds": stratified_folds,
+    "target_encoding": target_encoding,
     "class_weights": class_weights,
     "impute_median": impute_median,
     "column_medians": column_medians,
@@ -542,6 +553,21 @@ SELECT customer_id, CAST(signup_date AS VARCHAR) AS signup_date, CAST(label AS B
     "stratified_folds": f"""{SCORED_SQL}
 SELECT customer_id, CAST(label AS BIGINT) AS label,
        CAST(ntile(5) OVER (PARTITION BY label ORDER BY customer_id) - 1 AS BIGINT) AS fold FROM s""",
+    "target_encoding": f"""{SCORED_SQL},
+f AS (
+  SELECT s.customer_id, CAST(s.label AS BIGINT) AS label, cu.country,
+         CASE WHEN s.customer_id % 9 > 0 THEN cu.plan_type END AS plan_type,
+         CAST(ntile(5) OVER (PARTITION BY s.label ORDER BY s.customer_id) - 1 AS BIGINT) AS fold
+  FROM s JOIN cu USING (customer_id)),
+p AS (SELECT a.fold, avg(b.label) AS prior FROM (SELECT DISTINCT fold FROM f) a JOIN f b ON a.fold <> b.fold GROUP BY a.fold),
+c AS ({" UNION ALL ".join(f"SELECT '{k}' AS k, {k} AS v, fold, label FROM f" for k in ("country", "plan_type"))}),
+t AS (
+  SELECT a.k, a.v, a.fold, (coalesce(sum(b.label), 0) + 20 * any_value(prior)) / CAST(count(b.label) + 20 AS DOUBLE) AS m
+  FROM (SELECT DISTINCT k, v, fold FROM c) a JOIN p USING (fold)
+  LEFT JOIN c b ON a.k = b.k AND a.v IS NOT DISTINCT FROM b.v AND a.fold <> b.fold GROUP BY a.k, a.v, a.fold)
+SELECT f.*, {rounded("x.m", "country_target")}, {rounded("y.m", "plan_type_target")}
+FROM f JOIN t x ON x.k = 'country' AND x.v IS NOT DISTINCT FROM country AND x.fold = f.fold
+JOIN t y ON y.k = 'plan_type' AND y.v IS NOT DISTINCT FROM plan_type AND y.fold = f.fold""",
     "class_weights": f"""{SCORED_SQL},
 ct AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS p FROM s)
 SELECT CAST(0 AS BIGINT) AS label, n - p AS n_rows, {rounded("n / (2 * CAST(n - p AS DOUBLE))", "balanced_weight")},

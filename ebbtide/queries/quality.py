@@ -143,6 +143,13 @@ def correlated_features(spark: SparkSession, folder: str) -> DataFrame:
     return finish(q.correlated_features(features.withColumn("last_click_days_ago", F.lit(None).cast("double"))))
 
 
+def pair_correlations(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of the same columns, as rounded as they are in SQL, with the rows that have both."""
+    features = finish(activity_features(spark, folder))
+    features = features.withColumn("total_revenue", F.when(F.col("customer_id") % 3 == 0, F.col("total_revenue")))
+    return finish(q.pair_correlations(features.withColumn("last_click_days_ago", F.lit(None).cast("double"))))
+
+
 def align_schema(spark: SparkSession, folder: str) -> DataFrame:
     features = order_features(spark, folder)
     return finish(align_columns(features, ["customer_id", *EXPECTED_COLUMNS]))
@@ -161,6 +168,7 @@ QUERIES = {
     "validation_findings": validation_findings,
     "constant_features": constant_features,
     "correlated_features": correlated_features,
+    "pair_correlations": pair_correlations,
     "align_schema": align_schema,
 }
 
@@ -226,7 +234,7 @@ def _share_part(c: str) -> str:
 
 def _pair_parts() -> list[str]:
     return [
-        f"SELECT '{a}' AS kept, '{b}' AS dropped, {_corr(a, b)} AS r FROM ft"
+        f"SELECT '{a}' AS kept, '{b}' AS dropped, {_corr(a, b)} AS r, count({a} + {b}) AS n_rows FROM ft"
         for i, a in enumerate(NUMERIC)
         for b in NUMERIC[i + 1 :]
     ]
@@ -239,6 +247,11 @@ def _violation(table_name: str, column: str, rule: str, count: str, source: str)
     )
 
 
+# The features with one column missing for two thirds of the rows and another always.
+HOLES_SQL = f"""{ACTIVITY_FEATURES_SQL.replace("ft AS (", "ft0 AS (")}, ft AS (
+  SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN total_revenue END AS total_revenue,
+                    CAST(NULL AS DOUBLE) AS last_click_days_ago) FROM ft0)"""
+
 SQL = {
     "raw_profile": """WITH gaps AS (
   SELECT * REPLACE (CASE WHEN event_id % 3 <> 0 THEN value END AS value,
@@ -302,11 +315,12 @@ FROM lc WHERE least(c0, c1) BETWEEN 1 AND 999
 UNION ALL SELECT 'label_correlation', "column", correlation, 'warning' FROM lk WHERE suspect""",
     "constant_features": f"""{ORDER_FEATURES_SQL}, sh AS ({_union([_share_part(c) for c in _order_numeric()])})
 SELECT "column", {rounded("share", "top_share")} FROM sh WHERE share > 0.9""",
-    "correlated_features": f"""{ACTIVITY_FEATURES_SQL.replace("ft AS (", "ft0 AS (")}, ft AS (
-  SELECT * REPLACE (CASE WHEN customer_id % 3 = 0 THEN total_revenue END AS total_revenue,
-                    CAST(NULL AS DOUBLE) AS last_click_days_ago) FROM ft0),
+    "correlated_features": f"""{HOLES_SQL},
 pr AS ({_union(_pair_parts())})
 SELECT kept, dropped, {rounded("r", "correlation")} FROM pr WHERE abs(r) > 0.95""",
+    "pair_correlations": f"""{HOLES_SQL},
+pr AS ({_union(_pair_parts())})
+SELECT kept, dropped, n_rows, {rounded("r", "correlation")} FROM pr""",
     "align_schema": f"""{ORDER_FEATURES_SQL}
 SELECT customer_id, {', '.join(f'CAST(0 AS DOUBLE) AS {c}' if c in FOREIGN_COLUMNS else c
                                for c in EXPECTED_COLUMNS)} FROM ft""",
