@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,14 +35,26 @@ class DigestIndex:
     table: str
 
     @classmethod
-    def open(cls, spark: SparkSession, path: str, buckets: int = BUCKETS) -> DigestIndex:
-        """Create the index or reopen one; ``buckets`` must be what the index was created with."""
-        table = f"digest_index_{abs(hash((path, buckets))):x}"
+    def open(cls, spark: SparkSession, path: str, buckets: int | None = None) -> DigestIndex:
+        """Create the index or reopen one.
+
+        The number of buckets is written beside the files when the index is created (``BUCKETS`` unless given).  An index
+        that is reopened keeps its own; asking for another number is an error, because digests would be looked for in
+        buckets where they are not.
+        """
+        path = path.rstrip("/")
+        kept = f"{path}/_buckets"
+        spark.createDataFrame([(buckets or BUCKETS,)], "buckets int").coalesce(1).write.mode("ignore").parquet(kept)
+        held = spark.read.schema("buckets int").parquet(kept).first()[0]
+        if buckets is not None and buckets != held:
+            raise ValueError(f"the index at {path} has {held} buckets, not {buckets}")
+        # The same in every process, so a lasting catalogue holds one table of these files.
+        table = f"digest_index_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({INDEX_SCHEMA}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {held} BUCKETS LOCATION '{path}'"
         )
-        return cls(spark, path, buckets, table)
+        return cls(spark, path, held, table)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)

@@ -313,28 +313,49 @@ def _strength(groups: DataFrame, mean: Column | float) -> float:
     return float(min(max(most / between - 1, 1.0) if between > 0 else 1e4, 1e4))
 
 
+def _own(trait: str, base: float) -> Column:
+    """A document's probability by the corpus and its own text."""
+    return _sigmoid(F.lit(base) + F.col(trait))
+
+
 def beliefs(ratios: DataFrame, bases: dict[str, float]) -> DataFrame:
-    """``host``, ``path`` and the log odds of each trait there.
+    """What ``posterior`` needs of each ``host`` and ``path``: rows, sums of the documents' own probabilities, strengths.
 
-    One grouped sum of the documents' own probabilities per path (pre-aggregated before the shuffle), then sums of
-    those per host; hosts are shrunk toward the corpus and paths toward their host.
+    One grouped sum per path (pre-aggregated before the shuffle), then sums of those per host; hosts are shrunk toward
+    the corpus and paths toward their host.
     """
-    own = [F.sum(_sigmoid(F.lit(bases[t]) + F.col(t))).alias(t) for t in TRAITS]
+    own = [F.sum(_own(t, bases[t])).alias(f"{t}_sum") for t in TRAITS]
     paths = store(ratios.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), *own), "paths")
-    hosts = store(paths.groupBy("host").agg(F.sum("n").alias("n"), *(F.sum(t).alias(t) for t in TRAITS)), "hosts")
-    n, *sums = hosts.agg(F.sum("n"), *(F.sum(t) for t in TRAITS)).first()
-    for trait, total in zip(TRAITS, sums):
-        p = min(max((total or 0.0) / (n or 1), 1e-6), 1 - 1e-6)
-        worth = _strength(hosts.withColumn("s", F.col(trait)), p)
-        hosts = hosts.withColumn(f"host_{trait}", (F.lit(worth * p) + F.col(trait)) / (F.lit(worth) + F.col("n")))
-    both = store(paths.join(hosts.select("host", *(f"host_{t}" for t in TRAITS)), "host"), "sites")
+    sums = [F.sum(f"{t}_sum").alias(f"{t}_host_sum") for t in TRAITS]
+    hosts = store(paths.groupBy("host").agg(F.sum("n").alias("host_n"), *sums), "hosts")
+    n, *totals = hosts.agg(F.sum("host_n"), *(F.sum(f"{t}_host_sum") for t in TRAITS)).first()
+    both = store(paths.join(hosts, "host"), "sites")
     out = both
-    for trait in TRAITS:
-        mean = F.col(f"host_{trait}")
-        worth = _strength(both.withColumn("s", F.col(trait)), mean)
-        site = (F.lit(worth) * mean + F.col(trait)) / (F.lit(worth) + F.col("n"))
-        out = out.withColumn(f"site_{trait}", F.log(site / (1 - site)))
-    return out.select("host", "path", *(f"site_{t}" for t in TRAITS))
+    for trait, total in zip(TRAITS, totals):
+        p = min(max((total or 0.0) / (n or 1), 1e-6), 1 - 1e-6)
+        worth = _strength(hosts.select(F.col("host_n").alias("n"), F.col(f"{trait}_host_sum").alias("s")), p)
+        mean = (F.lit(worth * p) + F.col(f"{trait}_host_sum")) / (F.lit(worth) + F.col("host_n"))
+        inner = _strength(both.select("n", F.col(f"{trait}_sum").alias("s"), mean.alias("mean")), F.col("mean"))
+        known = {"p": p, "host_worth": worth, "worth": inner}
+        out = out.withColumns({f"{trait}_{k}": F.lit(float(v)) for k, v in known.items()})
+    return out
+
+
+def posterior(trait: str, base: float) -> Column:
+    """Probability of the trait by text and site, over rows of ratios joined with their ``beliefs``.
+
+    The site testifies by its other documents: a row's own probability and count are taken out of the sums of its path
+    and host, as its text already counts by its ratio.
+    """
+
+    def of(name: str) -> Column:
+        return F.col(f"{trait}_{name}")
+
+    own = _own(trait, base)
+    host = (of("host_worth") * of("p") + of("host_sum") - own) / (of("host_worth") + F.col("host_n") - 1)
+    site = (of("worth") * host + of("sum") - own) / (of("worth") + F.col("n") - 1)
+    site = F.least(F.greatest(site, F.lit(1e-9)), F.lit(1 - 1e-9))
+    return _sigmoid(F.log(site / (1 - site)) + F.col(trait))
 
 
 def classify(
@@ -373,10 +394,11 @@ def classify(
     )
     traits = fit(labelled_sample(rows.select("doc_id", "text_key", "text"), marks, sample))
     ratios = store(evidence(rows, traits), "ratios")
-    sites = store(beliefs(ratios, {t: traits[t].base if len(traits[t].beta) else -MOST for t in TRAITS}), "beliefs")
+    bases = {t: traits[t].base if len(traits[t].beta) else -MOST for t in TRAITS}
+    sites = store(beliefs(ratios, bases), "beliefs")
     judged = ratios.join(sites, ["host", "path"])
-    posterior = {t: _sigmoid(F.col(f"site_{t}") + F.col(t)) if len(traits[t].beta) else F.lit(0.0) for t in TRAITS}
-    out = judged.select("doc_id", *(posterior[t].alias(f"p_{t}") for t in TRAITS), "text_key")
+    found = {t: posterior(t, bases[t]) if len(traits[t].beta) else F.lit(0.0) for t in TRAITS}
+    out = judged.select("doc_id", *(found[t].alias(f"p_{t}") for t in TRAITS), "text_key")
     kept = (F.col("p_low") < threshold) & (F.col("p_toxic") < threshold)
     return out.select("doc_id", "p_low", "p_toxic", kept.alias("kept"), "text_key")
 
