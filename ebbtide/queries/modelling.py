@@ -33,7 +33,7 @@ from ebbtide.sources.models import load_model, save_model
 from ebbtide.sources.raw import export_features, ingest, load_features
 from ebbtide.sources.reports import load_decision_parameters, load_metrics, save_csv, save_json
 from ebbtide.sources.tables import execute_query, register_views, run_sql, save_table
-from ebbtide.streaming.scoring import read_feature_stream, start_scoring
+from ebbtide.streaming.scoring import read_feature_stream, start_reloading, start_scoring, write_scored_batch
 
 # Recency decides the label, so it is left out of the models; a duplicate of it stays out as well.
 LEAKING = ("days_since_last_event", "days_since_first_event", "events_last_30d", "revenue_last_30d",
@@ -201,6 +201,39 @@ def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def reloaded_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A fitted model on a stream whose reports change between two drops of files: rows by the parameters that decided.
+
+    The last batch is written twice, as after a failure.  Decisions and scores are held against the batch scoring.
+    """
+    features = _training_features(spark, folder)
+    model = training.train_model(features, "logistic_regression", date_col="signup_date", exclude=LEAKING).model
+    source, sink, offsets = (scratch_path(spark, n) for n in ("reload-in", "reload-out", "reload-offsets"))
+    threshold = scratch_path(spark, "reload-threshold")
+    drops = ((F.col("customer_id") % 3 == 0, 0.4), (F.col("customer_id") % 3 > 0, 0.6))
+    for drop, value in drops:
+        save_json(spark.range(1).select(F.lit(value).alias("optimal_threshold")), threshold)
+        features.filter(drop).write.mode("append").parquet(source)
+        start_reloading(
+            model, read_feature_stream(spark, source, features.schema), sink, offsets,
+            lambda: load_decision_parameters(spark, threshold), available_now=True,
+        ).awaitTermination()
+    last = features.filter(drops[-1][0])
+    write_scored_batch(model, last, 1, sink, load_decision_parameters(spark, threshold))
+    written = spark.read.parquet(sink)
+    again = DecisionParameters()
+    whole = score_customers(model, features, again).select("customer_id", F.col("churn_probability").alias("p"))
+    decided = F.col("predicted_churn") == (F.col("churn_probability") >= F.col("threshold"))
+    same = F.abs(F.col("p") - F.col("churn_probability")) < 1e-9
+    return finish(
+        written.join(whole, "customer_id").groupBy("batch", "threshold").agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.countDistinct("customer_id").alias("n_customers"),
+            F.bool_and(decided & same).alias("as_in_batch"),
+        )
+    )
+
+
 def _search(spark: SparkSession, folder: str, settings: int, **options) -> DataFrame:
     """A search over forests with stratified cross-validation: every setting, its trials, rows and ranks."""
     result = tuning.tune_model(
@@ -295,6 +328,7 @@ QUERIES = {
     "sql_script": sql_script,
     "batch_scores": batch_scores,
     "stream_scores": stream_scores,
+    "reloaded_stream": reloaded_stream,
     "train_logistic_regression": train_logistic_regression,
     "train_random_forest": train_random_forest,
     "train_boosting": train_boosting,
@@ -342,6 +376,11 @@ SELECT plan_type || ';' || chr(10) AS plan_type, count(*) AS n_customers, {round
 FROM cu WHERE signup_date < DATE '1996-01-01' AND monthly_revenue >= 1000 GROUP BY plan_type""",
     "batch_scores": DECISIONS_SQL,
     "stream_scores": DECISIONS_SQL,
+    "reloaded_stream": f"""{SCORED_SQL}
+SELECT CAST(CASE WHEN customer_id % 3 = 0 THEN 0 ELSE 1 END AS BIGINT) AS batch,
+       CASE WHEN customer_id % 3 = 0 THEN CAST(0.4 AS DOUBLE) ELSE CAST(0.6 AS DOUBLE) END AS threshold,
+       count(*) AS n_rows, count(*) AS n_customers, true AS as_in_batch
+FROM s GROUP BY ALL""",
     "train_logistic_regression": f"""{SCORED_SQL}
 SELECT {OUTCOME_COLUMNS}, true AS gradient_vanishes FROM s GROUP BY split""",
     "train_random_forest": f"{SCORED_SQL} SELECT {OUTCOME_COLUMNS} FROM s GROUP BY split",

@@ -9,7 +9,8 @@ from ebbtide.operators.splits import select_split
 from ebbtide.plans import jobs, training, tuning
 from ebbtide.queries.common import ORDER_TYPES, ORDER_WINDOW, customers, order_features, order_log
 from ebbtide.sources.models import load_model, save_model
-from ebbtide.streaming.scoring import read_feature_stream, start_scoring
+from ebbtide.sources.reports import load_decision_parameters, save_json
+from ebbtide.streaming.scoring import read_feature_stream, start_reloading, start_scoring, write_scored_batch
 from tests.test_features import WINDOW, at, make_customers, make_events
 
 
@@ -150,6 +151,30 @@ def test_stream_gives_the_batch_result_across_restarts(spark, features, tmp_path
     assert streamed.count() == 600 and streamed.exceptAll(batch).isEmpty()
 
 
+def test_a_running_stream_follows_the_reports_and_repeats_batches_safely(spark, features, tmp_path):
+    model = training.fit_model(features, "logistic_regression", SMALL["logistic_regression"])
+    source, sink, offsets, report = (str(tmp_path / n) for n in ("in", "out", "offsets", "report"))
+    features.limit(0).write.parquet(source)
+    stream = read_feature_stream(spark, source, features.schema)
+    # No report yet: the defaults.
+    query = start_reloading(model, stream, sink, offsets, lambda: load_decision_parameters(spark, report))
+    try:
+        features.filter("customer_id % 2 = 0").write.mode("append").parquet(source)
+        query.processAllAvailable()
+        save_json(spark.range(1).selectExpr("0.9D AS optimal_threshold"), report)
+        features.filter("customer_id % 2 = 1").write.mode("append").parquet(source)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.parquet(sink)
+    counts = {(r["threshold"], r["n"]) for r in rows.groupBy("threshold").agg({"*": "count"}).toDF("threshold", "n").collect()}
+    assert counts == {(0.5, 300), (0.9, 300)}
+    assert rows.where("predicted_churn <> (churn_probability >= threshold)").isEmpty()
+    last = rows.agg({"batch": "max"}).first()[0]
+    write_scored_batch(model, features.filter("customer_id % 2 = 1"), last, sink, DecisionParameters(0.9))
+    assert spark.read.parquet(sink).count() == 600
+
+
 def test_full_run_writes_every_output(spark, tmp_path):
     folder = "/root/testdata/sf0.01"
     result = jobs.full_run(
