@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,14 @@ from ebbtide.queries.common import (
     finish,
     labels_sql,
     order_features,
+    order_log,
     rounded,
     share,
     whole,
     window_sql,
 )
 from ebbtide.session import scratch_path
+from ebbtide.sources.tables import save_bucketed
 
 W = ACTIVITY_WINDOW
 BASE_SQL = f"WITH {ACTIVITY_LOG_SQL}, {window_sql(W)}"
@@ -191,6 +194,30 @@ def compacted_state(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def snapshot_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """What changed between two snapshots, from bucketed tables of snapshots and customers that are joined in place."""
+    log, known = order_log(spark, folder), customers(spark, folder)
+    earlier = ft.ObservationWindow(ORDER_WINDOW.end - timedelta(days=30), ORDER_WINDOW.days, ORDER_WINDOW.churn_days)
+    tables = {"known": known.select("customer_id", "country")}
+    for name, window in (("before", earlier), ("after", ORDER_WINDOW)):
+        tables[name] = ft.compute_features(known, log, window, ORDER_TYPES, ()).select("customer_id", "total_events", "label")
+    saved = {k: save_bucketed(v, f"ebbtide_{k}", "customer_id", 8, scratch_path(spark, k)) for k, v in tables.items()}
+    return finish(changes(saved["known"], saved["before"], saved["after"]))
+
+
+def changes(known: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Customers of both or either snapshot with the change of their events and whether they became inactive."""
+    # From the customers on: a full join of the snapshots would have a key that lies in no bucket.
+    earlier = before.withColumnsRenamed({"total_events": "events_before", "label": "label_before"})
+    joined = known.join(earlier, "customer_id", "left").join(after, "customer_id", "left")
+    joined = joined.where("total_events IS NOT NULL OR events_before IS NOT NULL")
+    more = F.coalesce("total_events", F.lit(0)) - F.coalesce("events_before", F.lit(0))
+    became = (F.coalesce("label", F.lit(1)) == 1) & (F.coalesce("label_before", F.lit(1)) == 0)
+    return joined.select(
+        "customer_id", "country", more.alias("more_events"), became.alias("became_inactive")
+    )
+
+
 def estimated_types(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct types by merged sketches, with very many types; how far the estimate may be off is part of the result."""
     odd = _with_odd_types(activity_log(spark, folder).withColumn("event_date", F.to_date("event_timestamp")))
@@ -228,6 +255,15 @@ ODD_TYPES_SQL = f"""{BASE_SQL}, o AS (
   SELECT *, CASE WHEN customer_id % 7 = 0 THEN NULL WHEN customer_id % 7 = 1 THEN 'only for ' || customer_id
             ELSE event_type END AS kind FROM w)"""
 
+
+
+def _snapshot_sql(end: date) -> str:
+    start, late = end - timedelta(days=ORDER_WINDOW.days), end - timedelta(days=ORDER_WINDOW.churn_days)
+    return f"""SELECT customer_id, count(*) AS n, CASE WHEN max(event_timestamp) < {day(late)} THEN 1 ELSE 0 END AS label
+FROM ev JOIN cu USING (customer_id) WHERE event_timestamp >= {day(start)} AND event_timestamp < {day(end)}
+GROUP BY customer_id"""
+
+
 QUERIES = {
     "rfm_features": rfm_features,
     "rolling_windows": rolling_windows,
@@ -245,6 +281,7 @@ QUERIES = {
     "incremental_features": incremental_features,
     "compacted_state": compacted_state,
     "estimated_types": estimated_types,
+    "snapshot_changes": snapshot_changes,
 }
 
 SQL = {
@@ -280,6 +317,12 @@ SELECT customer_id, {whole(age(ORDER_WINDOW, "signup_date"), "customer_age_days"
 SELECT customer_id, CAST(d AS VARCHAR) AS event_date, event_type, count(*) AS events, {rounded("sum(v)", "value")},
        count(*) FILTER (WHERE h BETWEEN 9 AND 17) AS peak_events
 FROM w GROUP BY customer_id, d, event_type""",
+    "snapshot_changes": f"""WITH {ORDER_LOG_SQL}, {CUSTOMERS_SQL},
+a AS ({_snapshot_sql(ORDER_WINDOW.end)}),
+b AS ({_snapshot_sql(ORDER_WINDOW.end - timedelta(days=30))})
+SELECT cu.customer_id, cu.country, coalesce(a.n, 0) - coalesce(b.n, 0) AS more_events,
+       coalesce(a.label, 1) = 1 AND coalesce(b.label, 1) = 0 AS became_inactive
+FROM a FULL JOIN b USING (customer_id) JOIN cu USING (customer_id)""",
     "estimated_types": f"""WITH {ACTIVITY_LOG_SQL}
 SELECT customer_id, count(DISTINCT CASE WHEN customer_id % 7 = 0 THEN NULL
          WHEN customer_id % 7 = 1 THEN 'only for ' || customer_id || ' ' || event_id ELSE event_type END)

@@ -165,3 +165,25 @@ def test_alignment_adds_and_orders_columns(spark):
     df = spark.createDataFrame([(1, 2.0)], "b int, a double")
     out = align_columns(df, ["a", "missing", "b"])
     assert out.columns == ["a", "missing", "b"] and tuple(out.first()) == (2.0, 0.0, 1)
+
+
+def test_bucketed_tables_join_without_moving_rows(spark, tmp_path):
+    from ebbtide.queries.features import changes
+    from ebbtide.sources.tables import save_bucketed
+
+    known = spark.range(300).selectExpr("id AS customer_id", "concat('l', id % 5) AS country")
+    parts = [spark.range(a, b).selectExpr("id AS customer_id", "id % 9 AS total_events", "CAST(id % 2 AS INT) AS label")
+             for a, b in ((0, 200), (100, 300))]
+    frames = {"known_b": known, "before_b": parts[0], "after_b": parts[1]}
+    saved = {k: save_bucketed(v, k, buckets=4, path=str(tmp_path / k)) for k, v in frames.items()}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = changes(saved["known_b"], saved["before_b"], saved["after_b"])
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        rows = {r.customer_id: (r.more_events, r.became_inactive) for r in joined.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(rows) == 300 and rows[4] == (-4, True) and rows[150] == (0, False) and rows[250] == (250 % 9, False)
+    again = save_bucketed(known.limit(0), "known_b", buckets=4, path=str(tmp_path / "known_b"))
+    assert again.count() == 0
