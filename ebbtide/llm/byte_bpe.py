@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -388,6 +390,13 @@ class Codec:
             for i in range(len(texts))
         ]
 
+    def forget(self) -> None:
+        """Empty the caches of encoded text; the tables of the ranks stay."""
+        self.cache.clear()
+        self.unsafe.clear()
+        self.pieces.clear()
+        self.bpe.known.clear()
+
     def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """Bytes of all ids in a row, and the length of each."""
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist())), self.token_lengths[ids]
@@ -398,6 +407,17 @@ def load(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+@contextmanager
+def task_codec(path: str, pattern: str) -> Iterator[Codec]:
+    """The worker's codec for one task; its caches of encoded text are emptied when the task ends, so that an idle
+    worker holds only the ranks and the stages after this one do not run beside them."""
+    codec = load(path, pattern)
+    try:
+        yield codec
+    finally:
+        codec.forget()
+
+
 def _slices(texts: list[str], limit: int = RESOLVE_CHARS) -> Iterator[tuple[int, int]]:
     first, size = 0, 0
     for i, text in enumerate(texts):
@@ -407,6 +427,18 @@ def _slices(texts: list[str], limit: int = RESOLVE_CHARS) -> Iterator[tuple[int,
             first, size = i + 1, 0
 
 
+def _text_slices(column: pa.Array, limit: int = RESOLVE_CHARS) -> Iterator[tuple[int, list[str]]]:
+    """Where each part of ``column`` begins, and its texts (null: empty) of about ``limit`` characters; only one part
+    at a time is held as Python strings."""
+    sizes = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        size += n
+        if size >= limit or i == len(sizes) - 1:
+            yield first, [t or "" for t in column.slice(first, i + 1 - first).to_pylist()]
+            first, size = i + 1, 0
+
+
 def encode_documents(
     docs: DataFrame,
     path: str,
@@ -426,14 +458,13 @@ def encode_documents(
     require(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = load(path, pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for first, last in _slices(texts):
-                keys = batch.column(0).slice(first, last - first)
-                counts, ids = _id_lists(codec.encode(texts[first:last]))
-                out = pa.RecordBatch.from_arrays([keys, counts, ids], ["doc_id", "n_tokens", "ids"])
-                yield from _decoded(codec, out, "ids") if decode else [out]
+        with task_codec(path, pattern) as codec:
+            for batch in batches:
+                for first, texts in _text_slices(batch.column(1)):
+                    keys = batch.column(0).slice(first, len(texts))
+                    counts, ids = _id_lists(codec.encode(texts))
+                    out = pa.RecordBatch.from_arrays([keys, counts, ids], ["doc_id", "n_tokens", "ids"])
+                    yield from _decoded(codec, out, "ids") if decode else [out]
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -446,15 +477,14 @@ def add_ids(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
     names = fresh(docs, "n_tokens"), fresh(docs, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = load(path, pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            for first, last in _slices(texts):
-                counts, ids = _id_lists(codec.encode(texts[first:last]))
-                out = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays(
-                    [*out.columns, counts, ids], [*batch.schema.names, *names]
-                )
+        with task_codec(path, pattern) as codec:
+            for batch in batches:
+                for first, texts in _text_slices(batch.column(batch.schema.get_field_index(text_col))):
+                    counts, ids = _id_lists(codec.encode(texts))
+                    out = batch.slice(first, len(texts))
+                    yield pa.RecordBatch.from_arrays(
+                        [*out.columns, counts, ids], [*batch.schema.names, *names]
+                    )
 
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.LongType())])
     return docs.mapInArrow(run, schema.add(names[1], T.ArrayType(T.IntegerType())))

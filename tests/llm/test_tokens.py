@@ -119,3 +119,23 @@ def test_rows_without_text(spark):
     assert sorted((r.n_tokens, bytes(r.decoded)) for r in decoded) == [(0, b""), (0, b""), (1, b"a")]
     assert byte_bpe.add_ids(df, BYTE_RANKS, pattern).columns == [*df.columns, "n_tokens_", "ids_"]
     assert byte_bpe.encode_documents(df.where("doc_id > 1"), BYTE_RANKS, pattern).collect() == []
+
+
+def test_a_batch_is_held_as_python_strings_one_part_at_a_time():
+    import pyarrow as pa
+
+    texts = ["ab" * 30, None, "é" * 50, "", "x" * 120, "日本" * 10]
+    parts = list(byte_bpe._text_slices(pa.array(texts, pa.string()), limit=100))
+    assert [t for _, part in parts for t in part] == [t or "" for t in texts]
+    assert [first for first, _ in parts] == np.cumsum([0] + [len(p) for _, p in parts])[:-1].tolist()
+    assert all(sum(map(len, part[:-1])) < 100 for _, part in parts) and len(parts) == 3
+
+
+def test_a_task_leaves_no_encoded_text_in_the_worker():
+    with byte_bpe.task_codec(BYTE_RANKS, public_tokenizers.PATTERN) as codec:
+        want = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.bpe.ranks, special_tokens={})
+        texts = ["the cat sat on the mat", "a  b\n\tc quixotic zyzzyva"]
+        assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == [want.encode_ordinary(t) for t in texts]
+        assert codec.cache or codec.pieces
+    assert not (codec.cache or codec.pieces or codec.unsafe or codec.bpe.known)
+    assert byte_bpe.load(BYTE_RANKS, public_tokenizers.PATTERN) is codec
