@@ -306,8 +306,18 @@ class _Join:
         with the smallest e, so one link a document is enough.  All other near pairs share at least (e(x) + e(y)) / 2
         elements of d.  In a common order, rare ones first, the first element they share must leave that many to both.
         No element of d stands in more than half of the documents.
+
+        Regions that share documents are taken as one, named by their smallest node, so that a document is listed once:
+        the step is exact in any set of documents, and a set that holds several regions finds all their pairs.
         """
         plus, minus = 100 + self.percent, 100 - self.percent
+        anchors = regions.groupBy("region").agg(F.min("node").alias("b"))
+        joined = connected_components(regions.select("region", F.col("node").alias("a")).join(anchors, "region"))
+        regions = store(
+            regions.select("node").distinct().join(joined, "node", "left")
+            .select(F.coalesce("component", "node").alias("region"), "node"),
+            "merged-regions",
+        )
         held = regions.select("region", "node").join(self.sets, "node")
         held = store(held.select("region", "node", "shingles"), "template-sets")
         members = held.groupBy("region").agg(F.count(F.lit(1)).alias("members"))

@@ -105,6 +105,29 @@ def test_regions_that_pivots_do_not_part(template, monkeypatch):
     assert "template-distances" in pairs and max(sizes) <= 3
 
 
+def test_overlapping_regions_list_a_document_once(spark, monkeypatch):
+    rnd = random.Random(7)
+    base = [f"t{i}" for i in range(100)]
+    rows = []
+    for doc in range(300):
+        text = list(base)
+        for i in rnd.sample(range(100), rnd.choice((1, 2, 3, 4))):
+            text[i] = f"e{rnd.randrange(30)}"
+        rows.append((doc, " ".join(text)))
+    forced_to_templates(monkeypatch)
+    stored, store = {}, jaccard.store
+
+    def kept(df, name):
+        stored[name] = store(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(jaccard, "store", kept)
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(3), 3, 90)
+    assert sorted_rows(got.select("doc_id", "n_shingles", "component_id")) == brute.components(rows, 3, 90)
+    elements = stored["elements"]
+    assert elements.count() == elements.select("node", "shingle").distinct().count() > 0
+
+
 @pytest.mark.parametrize("n, edits, own", [(200, (1, 2, 3, 4), 30), (1500, (2, 3), 10**9), (600, (2, 2, 3), 40)])
 def test_groups_of_near_copies_cost_pairs_in_proportion(spark, monkeypatch, n, edits, own):
     rnd = random.Random(n)
