@@ -322,7 +322,7 @@ def beliefs(ratios: DataFrame, bases: dict[str, float]) -> DataFrame:
     """What ``posterior`` needs of each ``host`` and ``path``: rows, sums of the documents' own probabilities, strengths.
 
     One grouped sum per path (pre-aggregated before the shuffle), then sums of those per host; hosts are shrunk toward
-    the corpus and paths toward their host.
+    the corpus and paths toward their host.  ``site_<trait>`` is the probability at a path with all its documents.
     """
     own = [F.sum(_own(t, bases[t])).alias(f"{t}_sum") for t in TRAITS]
     paths = store(ratios.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), *own), "paths")
@@ -338,6 +338,8 @@ def beliefs(ratios: DataFrame, bases: dict[str, float]) -> DataFrame:
         inner = _strength(both.select("n", F.col(f"{trait}_sum").alias("s"), mean.alias("mean")), F.col("mean"))
         known = {"p": p, "host_worth": worth, "worth": inner}
         out = out.withColumns({f"{trait}_{k}": F.lit(float(v)) for k, v in known.items()})
+        site = (F.lit(float(inner)) * mean + F.col(f"{trait}_sum")) / (F.lit(float(inner)) + F.col("n"))
+        out = out.withColumn(f"site_{trait}", site)
     return out
 
 
